@@ -82,7 +82,8 @@ def m1(spark, sf):
 
 
 @check("m2_phrases", f"""WITH {I.PHRASES_SQL}
-SELECT doc_id, keyword FROM documents, phrases WHERE regexp_matches(lower(text), pattern)""")
+SELECT doc_id, keyword FROM documents, phrases
+WHERE CASE WHEN contains(lower(text), keyword) THEN regexp_matches(lower(text), pattern) ELSE false END""")
 def m2(spark, sf):
     return M.match_phrases(_docs(spark, sf), "text", I.TEXT_DICTIONARY, ["doc_id"])
 

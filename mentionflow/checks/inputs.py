@@ -279,7 +279,8 @@ msg_hits AS (
     SELECT DISTINCT doc_id, pos, unnest(regexp_extract_all(message, '[\p{L}\p{N}_]+')) AS keyword FROM msgs)
   WHERE keyword IN (SELECT keyword FROM dict)
   UNION ALL
-  SELECT doc_id, pos, keyword FROM msgs, phrases WHERE regexp_matches(message, pattern)),
+  SELECT doc_id, pos, keyword FROM msgs, phrases 
+  WHERE CASE WHEN contains(message, keyword) THEN regexp_matches(message, pattern) ELSE false END),
 first_hits AS (SELECT doc_id, keyword, min(pos) AS pos FROM msg_hits GROUP BY doc_id, keyword),
 capped AS (
   SELECT doc_id, keyword FROM (

@@ -57,7 +57,7 @@ def x1(spark, sf):
 def _counted(spark, sf):
     path = scratch_path(spark, "x2")
     out = event_stream(_raw_documents(spark, sf), REPO_DICTIONARY)
-    S.run_stream(S.start(out, "x2", S.checkpoint_path(spark, "x2"), each_batch=write_batch(path, I.stamp()),
+    S.run_stream(S.start(out, "x2", S.checkpoint_path(spark, "x2"), each_batch=write_batch(path, now=I.stamp()),
                          trigger=None), None)
     return path
 
@@ -82,7 +82,7 @@ def x2_replay(spark, sf):
     """The same batch written twice counts once."""
     path = scratch_path(spark, "replay")
     raw = I.doc_events(spark, sf).select(F.to_json(F.struct(*EVENT.fieldNames())).alias("value"))
-    write = write_batch(path, I.stamp())
+    write = write_batch(path, now=I.stamp())
     for _ in range(2):
         write(event_stream(raw, REPO_DICTIONARY), 7)
     return (T.read_table(spark, path, BRONZE_STREAM).groupBy("keyword")

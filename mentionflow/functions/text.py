@@ -21,7 +21,11 @@ REPO_FALLBACK_KEYWORDS = 20
 SUBSTRING_MIN_CHARS = 4
 # --- end of fixed values ---
 
-_WORD_RUN = r"([\p{L}\p{N}_]+)"
+# Up to this many long keywords a direct substring test is as fast as scanning 4-grams.
+DIRECT_SUBSTRINGS = 100
+
+# Letters, digits, underscore; plain ASCII is named first because it is tested first.
+_WORD_RUN = r"[a-z0-9_\p{L}\p{N}]++"
 
 
 def _head(text: Column, chars: int | None) -> Column:
@@ -77,7 +81,12 @@ def searchable_text(event_type: Column, repo_name: Column, actor: Column, payloa
 
 def tokens(text: Column) -> Column:
     """Maximal runs of letters, digits and underscore, in lower case."""
-    return F.regexp_extract_all(F.lower(text), F.lit(_WORD_RUN), F.lit(1))
+    return F.regexp_extract_all(F.lower(text), F.lit(_WORD_RUN), F.lit(0))
+
+
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row, also for use inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _strings(values) -> Column:
@@ -129,26 +138,28 @@ def phrase_hits(text: Column, words: Column, dictionary: Dictionary) -> Column:
         return F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(whole_word_pattern(k)).alias("pattern"))
                          for k in keywords])
 
-    found = []
-    if anchored:
-        lookup = F.create_map(*[c for a, ks in anchored.items() for c in (F.lit(a), pairs(ks))])
-        anchors = F.filter(F.array_distinct(words), lambda t: t.isin(list(anchored)))
-        found.append(F.flatten(F.transform(anchors, lambda t: lookup[t])))
-    if loose:
-        found.append(pairs(loose))
-    if not found:
+    def hits(lowered: Column, tokens_of: Column) -> Column:
+        found = []
+        if anchored:
+            lookup = F.create_map(*[c for a, ks in anchored.items() for c in (F.lit(a), pairs(ks))])
+            anchors = F.filter(F.array_distinct(tokens_of), lambda t: t.isin(list(anchored)))
+            found.append(F.flatten(F.transform(anchors, lambda t: lookup[t])))
+        if loose:
+            found.append(pairs(loose))
+        kept = F.filter(F.concat(*found), lambda c: F.rlike(lowered, c["pattern"]))
+        return F.transform(kept, lambda c: c["keyword"])
+
+    if not anchored and not loose:
         return F.array().cast("array<string>")
-    lowered = F.lower(text)
-    hits = F.filter(F.concat(*found), lambda c: F.rlike(lowered, c["pattern"]))
-    return F.transform(hits, lambda c: c["keyword"])
+    return _bind(F.lower(text), lambda lowered: hits(lowered, words))
 
 
 def whole_word_hits(text: Column, dictionary: Dictionary) -> Column:
     """All keywords that occur in the text as whole words, each once."""
-    words = tokens(text)
     if not dictionary.phrases():
-        return word_hits(words, dictionary)
-    return F.array_distinct(F.concat(word_hits(words, dictionary), phrase_hits(text, words, dictionary)))
+        return word_hits(tokens(text), dictionary)
+    return _bind(tokens(text), lambda words: F.array_distinct(
+        F.concat(word_hits(words, dictionary), phrase_hits(text, words, dictionary))))
 
 
 def capped_hits(messages: Column, dictionary: Dictionary, cap: int = KEYWORD_CAP) -> Column:
@@ -164,24 +175,31 @@ def capped_hits(messages: Column, dictionary: Dictionary, cap: int = KEYWORD_CAP
 def any_hits(text: Column, dictionary: Dictionary) -> Column:
     """Keywords that are a token of the text, or longer than three characters and anywhere in it.
 
-    The substring test runs only for keywords whose first four characters occur in the
-    text, found by a hash-set probe over its character 4-grams: work follows the text
-    length and the few candidates, not the dictionary size.
+    Tokens are probed against a hash set. For the substring test a moderate dictionary is
+    tried keyword by keyword. A larger one is narrowed first: only keywords whose leading
+    four characters occur in the text, found by probing its character 4-grams, are tried.
+    Both ways are exact.
     """
-    lowered = F.lower(text)
     exact = F.filter(tokens(text), lambda t: t.isin(dictionary.keywords()))
-    by_head: dict[str, list[str]] = {}
-    for keyword in dictionary.keywords():
-        if len(keyword) >= SUBSTRING_MIN_CHARS:
-            by_head.setdefault(keyword[:SUBSTRING_MIN_CHARS], []).append(keyword)
-    if not by_head:
+    long = [k for k in dictionary.keywords() if len(k) >= SUBSTRING_MIN_CHARS]
+    if not long:
         return F.array_sort(F.array_distinct(exact))
+
+    def inside(lowered: Column) -> Column:
+        candidates = _strings(long) if len(long) <= DIRECT_SUBSTRINGS else _leading_gram_candidates(lowered, long)
+        return F.filter(candidates, lambda k: F.contains(lowered, k))
+
+    return F.array_sort(F.array_distinct(F.concat(exact, _bind(F.lower(text), inside))))
+
+
+def _leading_gram_candidates(lowered: Column, keywords: list[str]) -> Column:
+    by_head: dict[str, list[str]] = {}
+    for keyword in keywords:
+        by_head.setdefault(keyword[:SUBSTRING_MIN_CHARS], []).append(keyword)
     grams = F.regexp_extract_all(lowered, F.lit(r"(?s)(?=(.{%d}))" % SUBSTRING_MIN_CHARS), F.lit(1))
     heads = F.array_distinct(F.filter(grams, lambda g: g.isin(list(by_head))))
     lookup = F.create_map(*[c for h, ks in by_head.items() for c in (F.lit(h), _strings(ks))])
-    candidates = F.flatten(F.transform(heads, lambda h: lookup[h]))
-    inside = F.filter(candidates, lambda k: F.contains(lowered, k))
-    return F.array_sort(F.array_distinct(F.concat(exact, inside)))
+    return F.flatten(F.transform(heads, lambda h: lookup[h]))
 
 
 def repo_hits(repo_name: Column, dictionary: Dictionary,
@@ -191,10 +209,10 @@ def repo_hits(repo_name: Column, dictionary: Dictionary,
     When no part is a keyword, the first of the ``fallback`` longest keywords that is a
     substring is taken instead.
     """
-    name = F.lower(repo_name)
-    parts = F.split(F.translate(name, "/-._", "    "), r"(?U)\s+")
+    parts = F.split(F.translate(F.lower(repo_name), "/-._", "    "), r"(?U)\s+")
     exact = F.array_sort(F.array_distinct(F.filter(parts, lambda p: p.isin(dictionary.keywords()))))
     longest = _strings(dictionary.longest(fallback))
-    inside = F.slice(F.filter(longest, lambda k: F.contains(name, k)), 1, 1)
-    hits = F.when(F.size(exact) > 0, exact).otherwise(inside)
+    inside = _bind(F.lower(repo_name), lambda name: F.slice(
+        F.filter(longest, lambda k: F.contains(name, k)), 1, 1))
+    hits = _bind(exact, lambda found: F.when(F.size(found) > 0, found).otherwise(inside))
     return F.coalesce(hits, F.array().cast("array<string>"))

@@ -80,10 +80,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str],
     spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
     (spread.write.format("parquet").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
-    body = df.drop(*partition_by).where(F.lit(False))
-    for values in emptied:
-        folder = "/".join(f"{c}={values[c]}" for c in partition_by)
-        body.coalesce(1).write.mode("overwrite").parquet(f"{path}/{folder}")
+    drop_partitions(df.sparkSession, path, emptied, partition_by)
+
+
+def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[dict], partition_by: list[str]) -> None:
+    """Remove whole partition folders, given as {column: value}."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for values in partitions:
+        folder = hadoop.Path("/".join([path.rstrip("/"), *(f"{c}={values[c]}" for c in partition_by)]))
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def delete_where(spark: SparkSession, path: str, schema: StructType, predicate: Column,
@@ -91,24 +97,24 @@ def delete_where(spark: SparkSession, path: str, schema: StructType, predicate:
     """Delete rows; only partitions that hold such rows are rewritten.
 
     Returns the removed and remaining row counts. The driver sees one count pair per
-    touched partition, never rows. The rows kept are staged first, so a lost task cannot
+    partition, never rows; partitions left empty are dropped as folders. The rows kept are staged first, so a lost task cannot
     leave a half-written partition.
     """
     table = read_table(spark, path, schema)
     doomed = F.coalesce(predicate, F.lit(False))
     counts = (table.groupBy(*partition_by)
               .agg(F.count_if(doomed).alias("removed"), F.count_if(~doomed).alias("kept")))
-    totals = counts.agg(F.sum("removed"), F.sum("kept")).first()
-    touched = counts.where("removed > 0").collect()
-    if touched:
+    found = counts.collect()
+    touched = [r for r in found if r["removed"]]
+    if any(r["kept"] for r in touched):
         keys = spark.createDataFrame([tuple(r[c] for c in partition_by) for r in touched],
                                      StructType([schema[c] for c in partition_by]))
         kept = table.join(F.broadcast(keys), partition_by, "left_semi").where(~doomed)
         staged = scratch_path(spark, "delete")
         kept.write.parquet(staged)
-        replace_partitions(spark.read.schema(_nullable(schema)).parquet(staged), path, partition_by,
-                           [{c: r[c] for c in partition_by} for r in touched if r["kept"] == 0])
-    return {"removed": totals[0] or 0, "remaining": totals[1] or 0}
+        replace_partitions(spark.read.schema(_nullable(schema)).parquet(staged), path, partition_by)
+    drop_partitions(spark, path, [r.asDict() for r in touched if not r["kept"]], partition_by)
+    return {"removed": sum(r["removed"] for r in found), "remaining": sum(r["kept"] for r in found)}
 
 
 def verify_write(table: DataFrame, date: str) -> DataFrame:

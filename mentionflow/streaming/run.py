@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.quality import schema_difference
 from ..operators.versions import older_than
@@ -20,7 +21,7 @@ from .sink import write_batch
 TRIGGER = "3 seconds"
 RUN_MINUTES = 60
 KEEP_HOURS = 1
-STREAM_PARTITIONS = ["batch_id", "date", "hour"]
+STREAM_PARTITIONS = ["run", "batch_id", "date", "hour"]
 # --- end of fixed values ---
 
 
@@ -66,7 +67,8 @@ def clean_stream_table(spark: SparkSession, path: str, hours: int = KEEP_HOURS,
     moment = F.current_timestamp() if now is None else now
     cutoff = moment - F.make_dt_interval(hours=F.lit(hours))
     old = older_than(F.col("date"), F.col("hour"), F.to_date(cutoff), F.hour(cutoff))
-    return tables.delete_where(spark, path, BRONZE_STREAM, old, STREAM_PARTITIONS)
+    stored = StructType([*BRONZE_STREAM.fields, StructField("run", StringType())])
+    return tables.delete_where(spark, path, stored, old, STREAM_PARTITIONS)
 
 
 def run_streaming(spark: SparkSession, source: DataFrame, dictionary: Dictionary, root: str,
@@ -79,7 +81,7 @@ def run_streaming(spark: SparkSession, source: DataFrame, dictionary: Dictionary
     """
     topic = f"{root.rstrip('/')}/topic"
     table = tables.table_path(root, "bronze", "streaming_keyword_extractions")
-    tables.create_if_absent(spark, table, BRONZE_STREAM, STREAM_PARTITIONS)
+    tables.create_if_absent(spark, table, BRONZE_STREAM, ["date", "hour"])
     clean_stream_table(spark, table)
     spark.createDataFrame([], "value string").write.mode("append").text(topic)
     producer = start(enrich_stream(source, dictionary), "enrich", checkpoint_path(spark, "enrich", root, fresh),
@@ -87,8 +89,9 @@ def run_streaming(spark: SparkSession, source: DataFrame, dictionary: Dictionary
     if trigger is None:
         run_stream(producer, None)
     landed = spark.readStream.format("text").load(topic)
-    consumer = start(event_stream(landed, dictionary), "count", checkpoint_path(spark, "count", root, fresh),
-                     each_batch=write_batch(table), trigger=trigger)
+    checkpoint = checkpoint_path(spark, "count", root, fresh)
+    consumer = start(event_stream(landed, dictionary), "count", checkpoint, trigger=trigger,
+                     each_batch=write_batch(table, run=checkpoint.rsplit("/", 1)[-1]))
     try:
         run_stream(consumer, minutes if trigger else None)
     finally:

@@ -8,6 +8,9 @@ from ..operators.matching import with_keywords
 from ..operators.rollups import stream_counts
 from ..schemas import BRONZE_STREAM, conform
 
+# Counts of one micro-batch are small; more files would only slow readers down.
+FILES_PER_BATCH = 8
+
 
 def batch_rows(batch: DataFrame, epoch: int, now: Column | None = None) -> DataFrame:
     """Counts of a micro-batch in the stream table's columns.
@@ -29,16 +32,18 @@ def batch_rows(batch: DataFrame, epoch: int, now: Column | None = None) -> DataF
     return conform(rows, BRONZE_STREAM)
 
 
-def write_batch(path: str, now: Column | None = None):
-    """A foreachBatch function that stores a batch under its id.
+def write_batch(path: str, run: str = "default", now: Column | None = None):
+    """A foreachBatch function that stores each batch in a folder of its own.
 
-    A replayed batch replaces its own folder, so the table counts it once. The batch is
-    read once; an empty one adds no rows. Partitions are (batch_id, date, hour): the
-    minute is a column, as a folder per minute would mean a flood of small files.
+    A replayed batch overwrites its folder, whatever hour it is by then, so the table
+    counts it once. ``run`` names the checkpoint the batch numbers belong to: a fresh
+    checkpoint starts again at 0 and must not overwrite an earlier run. The batch is
+    read once; an empty one adds no rows. Hours are folders, minutes are a column, and
+    retention removes old folders, so the table stays at about an hour of batches.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        (batch_rows(batch, epoch, now).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", "date", "hour").parquet(path))
+        rows = batch_rows(batch, epoch, now).drop("batch_id").coalesce(FILES_PER_BATCH)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("date", "hour").parquet(f"{path}/run={run}/batch_id=batch_{epoch}"))
 
     return write
