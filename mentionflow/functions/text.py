@@ -99,7 +99,9 @@ def whole_word_pattern(keyword: str) -> str:
     A boundary next to a word character means "no word character beside it"; next to
     punctuation it means "a word character beside it" (so ``c++`` needs one after it).
     """
-    word = r"[\p{L}\p{N}_]"
+    # U+10400 is a letter anyway; naming one beyond 16 bits makes Java look behind by whole
+    # characters instead of half ones
+    word = "[\\p{L}\\p{N}_\U00010400]"
 
     def edge(char: str, ahead: bool) -> str:
         negate = bool(re.match(r"\w", char))

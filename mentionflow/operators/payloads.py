@@ -31,8 +31,9 @@ def payload_job_count(response: Column) -> Column:
 
 
 def envelope(columns: list[str]) -> Column:
-    """Compact JSON of the given columns, NULLs kept, raw JSON bodies as they came."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    """Compact JSON of the given columns, NULLs kept, the response body nested as JSON."""
+    fields = [F.try_parse_json(c).alias(c) if c == "response_data" else F.col(c) for c in columns]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def to_bronze_payload(df: DataFrame, source: str, date: str, order: str, collected_at: Column,

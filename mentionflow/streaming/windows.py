@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+def _with_watermark(df: DataFrame, time: str, lateness: str) -> DataFrame:
+    """A watermark on a stream that has none on this column; a query may declare only one."""
+    if not df.isStreaming or "spark.watermarkDelayMs" in df.schema[time].metadata:
+        return df
+    return df.withWatermark(time, lateness)
+
+
 def windowed_trends(df: DataFrame, length: str = "30 seconds", slide: str | None = "3 seconds",
                     time: str = "event_timestamp", key: str = "keyword",
                     lateness: str = "1 minute") -> DataFrame:
@@ -12,8 +19,7 @@ def windowed_trends(df: DataFrame, length: str = "30 seconds", slide: str | None
 
     The watermark bounds the state; rows later than it are dropped by a stream.
     """
-    source = df.withWatermark(time, lateness) if df.isStreaming else df
-    return (source.groupBy(F.window(time, length, slide), key)
+    return (_with_watermark(df, time, lateness).groupBy(F.window(time, length, slide), key)
             .agg(F.count("*").alias("mentions"))
             .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                     key, "mentions"))
@@ -23,5 +29,5 @@ def dedupe_events(df: DataFrame, key: str = "event_id", time: str = "event_times
                   lateness: str = "1 minute") -> DataFrame:
     """Each event once: within the watermark on a stream, overall on a batch frame."""
     if df.isStreaming:
-        return df.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])
+        return _with_watermark(df, time, lateness).dropDuplicatesWithinWatermark([key])
     return df.dropDuplicates([key])
