@@ -64,6 +64,14 @@ def p4(spark, sf):
     return M.searchable(I.doc_events(spark, sf)).select(_id(), "searchable_text")
 
 
+WHOLE = {"commits": None, "commit_chars": None, "description_chars": None, "title_chars": None}
+
+
+@check("p4_searchable_text_whole", f"WITH {I.DOCS_SQL}, {I.SEARCH_WHOLE_SQL} SELECT doc_id, searchable_text FROM search")
+def p4_whole(spark, sf):
+    return M.searchable(I.doc_events(spark, sf), **WHOLE).select(_id(), "searchable_text")
+
+
 @check("p5_with_keywords", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_SQL}, {I.ANY_SQL}
 SELECT DISTINCT doc_id FROM any_hits""")
 def p5(spark, sf):
@@ -104,8 +112,16 @@ def m3(spark, sf):
 @check("m4_any_match", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_SQL}, {I.ANY_SQL}
 SELECT doc_id, string_agg(keyword, ',' ORDER BY keyword) AS technologies FROM any_hits GROUP BY doc_id""")
 def m4(spark, sf):
-    hits = M.match_any(M.searchable(I.doc_events(spark, sf)), "searchable_text", I.TEXT_DICTIONARY)
-    return M.with_keywords(hits).select(_id(), F.array_join("technologies", ",").alias("technologies"))
+    hits = M.match_any(M.searchable(I.doc_events(spark, sf)), "searchable_text", I.TEXT_DICTIONARY, matched_only=True)
+    return hits.select(_id(), F.array_join("technologies", ",").alias("technologies"))
+
+
+@check("m4_any_match_whole", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_WHOLE_SQL}, {I.ANY_SQL}
+SELECT doc_id, string_agg(keyword, ',' ORDER BY keyword) AS technologies FROM any_hits GROUP BY doc_id""")
+def m4_whole(spark, sf):
+    events = M.searchable(I.doc_events(spark, sf), **WHOLE)
+    hits = M.match_any(events, "searchable_text", I.TEXT_DICTIONARY, matched_only=True)
+    return hits.select(_id(), F.array_join("technologies", ",").alias("technologies"))
 
 
 _WHOLE_ANY = r"""SELECT doc_id, keyword FROM documents, dict
@@ -116,8 +132,7 @@ WHERE list_contains(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), keyword)
 @check("j3_substring_match", f"WITH {I.DICT_SQL} {_WHOLE_ANY}")
 def j3(spark, sf):
     """The same match over whole document texts; a 4-gram probe replaces the theta join."""
-    hits = M.match_any(_docs(spark, sf), "text", I.TEXT_DICTIONARY)
-    return hits.select("doc_id", F.explode("technologies").alias("keyword"))
+    return _docs(spark, sf).select("doc_id", F.explode(T.any_hits(F.col("text"), I.TEXT_DICTIONARY)).alias("keyword"))
 
 
 @check("j2_token_join", f"""WITH {_TOKENS},
@@ -153,7 +168,7 @@ SELECT doc_id, string_agg(keyword, ',' ORDER BY keyword) AS technologies
 FROM (SELECT * FROM exact UNION ALL SELECT * FROM inside) GROUP BY doc_id""")
 def m5(spark, sf):
     events = I.doc_events(spark, sf).select(_id(), F.col("repo.name").alias("repo_name"))
-    hits = M.with_keywords(M.match_repo(events, "repo_name", REPO_DICTIONARY))
+    hits = M.match_repo(events, "repo_name", REPO_DICTIONARY, matched_only=True)
     return hits.select("doc_id", F.array_join("technologies", ",").alias("technologies"))
 
 
@@ -184,8 +199,8 @@ SELECT doc_id, type, repo, string_agg(keyword, ',' ORDER BY keyword) AS extracte
 FROM any_hits JOIN search USING (doc_id) GROUP BY doc_id, type, repo, searchable_text""")
 def s7(spark, sf):
     """Written as JSON documents, read back by field."""
-    hits = M.match_any(M.searchable(I.doc_events(spark, sf)), "searchable_text", I.TEXT_DICTIONARY)
-    sent = to_enriched_json(M.with_keywords(hits), ["id", "type", "actor", "repo", "payload"])
+    hits = M.match_any(M.searchable(I.doc_events(spark, sf)), "searchable_text", I.TEXT_DICTIONARY, matched_only=True)
+    sent = to_enriched_json(hits, ["id", "type", "actor", "repo", "payload"])
     back = F.from_json("value", "id string, type string, repo struct<name:string>, extracted_keywords array<string>,"
                                 " searchable_text string, producer_version string")
     return sent.select(back.alias("e")).select(
@@ -197,8 +212,8 @@ def s7(spark, sf):
 @check("a18_keyword_stats", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_SQL}, {I.ANY_SQL}
 SELECT keyword, count(*) AS events FROM any_hits GROUP BY keyword ORDER BY events DESC, keyword LIMIT 5""")
 def a18(spark, sf):
-    hits = M.match_any(M.searchable(I.doc_events(spark, sf)), "searchable_text", I.TEXT_DICTIONARY)
-    return M.keyword_stats(M.with_keywords(hits), top=5)
+    hits = M.match_any(M.searchable(I.doc_events(spark, sf)), "searchable_text", I.TEXT_DICTIONARY, matched_only=True)
+    return M.keyword_stats(hits, top=5)
 
 
 @check("a8_stream_counts", f"""{_REPO_SQL}
@@ -208,7 +223,7 @@ def a8(spark, sf):
     from ..operators.rollups import stream_counts
 
     events = I.doc_events(spark, sf).select(F.col("id").alias("event_id"), F.col("repo.name").alias("repo_name"))
-    return stream_counts(M.with_keywords(M.match_repo(events, "repo_name", REPO_DICTIONARY)))
+    return stream_counts(M.match_repo(events, "repo_name", REPO_DICTIONARY, matched_only=True))
 
 
 @check("u5_array_intersection", f"""WITH {I.DICT_SQL}, {_TOKENS}

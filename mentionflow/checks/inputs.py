@@ -148,9 +148,16 @@ trends AS (
     'push', 'clone', 'fork', 'star', 'issue', 'pr'))"""
 
 
-def trends(gold_frame: DataFrame, timeframe: str) -> DataFrame:
-    """Trend table as of the latest Gold date, without the processing time."""
-    return build_trends(gold_frame, latest(gold_frame, "date"), timeframe, stamp()).drop("processed_at")
+def trends(spark, sf_dir, timeframe: str) -> DataFrame:
+    """Trend table of the events' Gold as of its latest date, without the processing time."""
+    last = latest(table(spark, sf_dir, "events").select(D.day(F.col("ts")).alias("date")), "date")
+    return build_trends(gold(spark, sf_dir), last, timeframe, stamp()).drop("processed_at")
+
+
+def long_trends(spark, sf_dir, timeframe: str) -> DataFrame:
+    """The same of the long-span activity."""
+    last = latest(table(spark, sf_dir, "lineitem").select(D.day(F.col("l_shipdate")).alias("date")), "date")
+    return build_trends(long_gold(spark, sf_dir), last, timeframe, stamp()).drop("processed_at")
 
 
 # --- lineitem + part: long spans ---
@@ -299,6 +306,18 @@ search AS (
       ELSE nullif(substring(lower(lines[1]), 1, 100), '') END)) AS searchable_text
   FROM doc_ev)"""
 
+# Every limit of the searchable text lifted.
+SEARCH_WHOLE_SQL = r"""
+search AS (
+  SELECT doc_id, date, repo, type, source, lang, lower(concat_ws(' ', repo, lang || '-' || word, type, source,
+    CASE doc_id % 5
+      WHEN 0 THEN nullif(array_to_string(list_filter(lines, lambda x: x <> ''), ' '), '')
+      WHEN 1 THEN concat_ws(' ', nullif(lines[1], ''), lang || '/' || word)
+      WHEN 2 THEN concat_ws(' ', text, lang)
+      WHEN 3 THEN concat_ws(' ', nullif(lines[1], ''), source)
+      ELSE nullif(lines[1], '') END)) AS searchable_text
+  FROM doc_ev)"""
+
 ANY_SQL = r"""
 any_hits AS (
   SELECT doc_id, keyword FROM search, dict

@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D, rules as R
 from ..operators import ranking, rollups
+from ..plans import daily
 from ..plans.bronze import build_bronze, event_matches
 from ..plans.gold import categorize
 from ..plans.silver import build_silver
 from ..plans.trends import window_bounds
 from ..operators.rollups import latest
+from ..schemas import GOLD
+from ..session import scratch_path
+from ..sources.tables import read_table
 from . import inputs as I
 from .registry import check
 
@@ -220,20 +224,31 @@ def _trend_check(timeframe: str):
 SELECT * REPLACE (round_even(avg_daily_mentions_{timeframe}, 6) AS avg_daily_mentions_{timeframe}) FROM trends""")
     def g4(spark, sf):
         name = f"avg_daily_mentions_{timeframe}"
-        return I.trends(I.gold(spark, sf), timeframe).withColumn(name, F.bround(name, 6))
+        return I.trends(spark, sf, timeframe).withColumn(name, F.bround(name, 6))
 
     @check(f"g4_trends_{timeframe}_long_span",
            f"""WITH {I.LONG_GOLD_SQL}, {I.trends_sql('long_gold', timeframe)}
 SELECT * REPLACE (round_even(avg_daily_mentions_{timeframe}, 6) AS avg_daily_mentions_{timeframe}) FROM trends""")
     def g4_long(spark, sf):
         name = f"avg_daily_mentions_{timeframe}"
-        return I.trends(I.long_gold(spark, sf), timeframe).withColumn(name, F.bround(name, 6))
+        return I.long_trends(spark, sf, timeframe).withColumn(name, F.bround(name, 6))
 
 
 for _t in ("7d", "30d", "90d", "alltime"):
     _trend_check(_t)
 
 
+@check("g9_daily_run", f"WITH {I.GOLD_SQL} SELECT * FROM gold")
+def g9(spark, sf):
+    """The whole batch over stored tables, run twice; Gold is read back."""
+    root = scratch_path(spark, "daily")
+    layout = daily.Layout(root)
+    daily.write_bronze(I.bronze(spark, sf), layout)
+    for _ in range(2):
+        daily.run_daily(spark, root, I.EVENT_DICTIONARY)
+    return read_table(spark, layout.gold, GOLD).drop("processed_at", "data_source")
+
+
 # --- classification rules ---
 
 _NAMES_SQL = r"""names AS (

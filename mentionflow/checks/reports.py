@@ -64,8 +64,8 @@ UNION ALL SELECT 'top_technologies', key, value FROM (SELECT technology AS key,
 UNION ALL SELECT 'ai_technologies', key, value FROM (SELECT technology AS key, daily_mentions AS value FROM day
   WHERE starts_with(technology_category, 'ai') ORDER BY 2 DESC, 1 LIMIT 3)""")
 def g7(spark, sf):
-    gold = I.gold(spark, sf)
-    return insights(gold, latest(gold, "date"))
+    last = latest(I.table(spark, sf, "events").select(D.day(F.col("ts")).alias("date")), "date")
+    return insights(I.gold(spark, sf), last)
 
 
 # --- dashboards over Silver and Gold ---
@@ -120,7 +120,7 @@ _ALLTIME = f"WITH {I.LONG_GOLD_SQL}, {I.trends_sql('long_gold', 'alltime')}"
 
 
 def _alltime(spark, sf):
-    return I.trends(I.long_gold(spark, sf), "alltime")
+    return I.long_trends(spark, sf, "alltime")
 
 
 @check("g11_top_ranked", f"""{_ALLTIME}
@@ -157,7 +157,7 @@ def category_leaders(spark, sf):
 SELECT technology, technology_category, category_rank_alltime FROM trends WHERE technology_category IN (
   SELECT technology_category FROM trends GROUP BY 1 HAVING count(*) = 1)""")
 def lone_technologies(spark, sf):
-    return B.lone_technologies(I.trends(I.gold(spark, sf), "alltime"))
+    return B.lone_technologies(I.trends(spark, sf, "alltime"))
 
 
 @check("g11_category_distribution", f"{_ALLTIME} SELECT technology_category, count(*) AS rows FROM trends GROUP BY 1")

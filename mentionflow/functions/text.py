@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, functions as F
 
 from ..sources.dictionary import Dictionary, word_runs
+from .base import bind, strings
 
 # --- Fixed values: which event types count and how much of each text is searched ---
 MENTION_EVENT_TYPES = ["PushEvent", "PullRequestEvent"]
@@ -84,15 +85,6 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORD_RUN), F.lit(0))
 
 
-def _bind(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once per row, also for use inside lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _strings(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-
-
 def whole_word_pattern(keyword: str) -> str:
     """Regex for ``\\b keyword \\b`` with Unicode word characters spelled out.
 
@@ -144,23 +136,24 @@ def phrase_hits(text: Column, words: Column, dictionary: Dictionary) -> Column:
         found = []
         if anchored:
             lookup = F.create_map(*[c for a, ks in anchored.items() for c in (F.lit(a), pairs(ks))])
-            anchors = F.filter(F.array_distinct(tokens_of), lambda t: t.isin(list(anchored)))
+            anchors = F.array_distinct(F.filter(tokens_of, lambda t: t.isin(list(anchored))))
             found.append(F.flatten(F.transform(anchors, lambda t: lookup[t])))
         if loose:
             found.append(pairs(loose))
-        kept = F.filter(F.concat(*found), lambda c: F.rlike(lowered, c["pattern"]))
+        kept = F.filter(F.concat(*found), lambda c: F.contains(lowered, c["keyword"])
+                        & F.rlike(lowered, c["pattern"]))
         return F.transform(kept, lambda c: c["keyword"])
 
     if not anchored and not loose:
         return F.array().cast("array<string>")
-    return _bind(F.lower(text), lambda lowered: hits(lowered, words))
+    return bind(F.lower(text), lambda lowered: hits(lowered, words))
 
 
 def whole_word_hits(text: Column, dictionary: Dictionary) -> Column:
     """All keywords that occur in the text as whole words, each once."""
     if not dictionary.phrases():
         return word_hits(tokens(text), dictionary)
-    return _bind(tokens(text), lambda words: F.array_distinct(
+    return bind(tokens(text), lambda words: F.array_distinct(
         F.concat(word_hits(words, dictionary), phrase_hits(text, words, dictionary))))
 
 
@@ -188,10 +181,10 @@ def any_hits(text: Column, dictionary: Dictionary) -> Column:
         return F.array_sort(F.array_distinct(exact))
 
     def inside(lowered: Column) -> Column:
-        candidates = _strings(long) if len(long) <= DIRECT_SUBSTRINGS else _leading_gram_candidates(lowered, long)
+        candidates = strings(long) if len(long) <= DIRECT_SUBSTRINGS else _leading_gram_candidates(lowered, long)
         return F.filter(candidates, lambda k: F.contains(lowered, k))
 
-    return F.array_sort(F.array_distinct(F.concat(exact, _bind(F.lower(text), inside))))
+    return F.array_sort(F.array_distinct(F.concat(exact, bind(F.lower(text), inside))))
 
 
 def _leading_gram_candidates(lowered: Column, keywords: list[str]) -> Column:
@@ -200,7 +193,7 @@ def _leading_gram_candidates(lowered: Column, keywords: list[str]) -> Column:
         by_head.setdefault(keyword[:SUBSTRING_MIN_CHARS], []).append(keyword)
     grams = F.regexp_extract_all(lowered, F.lit(r"(?s)(?=(.{%d}))" % SUBSTRING_MIN_CHARS), F.lit(1))
     heads = F.array_distinct(F.filter(grams, lambda g: g.isin(list(by_head))))
-    lookup = F.create_map(*[c for h, ks in by_head.items() for c in (F.lit(h), _strings(ks))])
+    lookup = F.create_map(*[c for h, ks in by_head.items() for c in (F.lit(h), strings(ks))])
     return F.flatten(F.transform(heads, lambda h: lookup[h]))
 
 
@@ -213,8 +206,8 @@ def repo_hits(repo_name: Column, dictionary: Dictionary,
     """
     parts = F.split(F.translate(F.lower(repo_name), "/-._", "    "), r"(?U)\s+")
     exact = F.array_sort(F.array_distinct(F.filter(parts, lambda p: p.isin(dictionary.keywords()))))
-    longest = _strings(dictionary.longest(fallback))
-    inside = _bind(F.lower(repo_name), lambda name: F.slice(
+    longest = strings(dictionary.longest(fallback))
+    inside = bind(F.lower(repo_name), lambda name: F.slice(
         F.filter(longest, lambda k: F.contains(name, k)), 1, 1))
-    hits = _bind(exact, lambda found: F.when(F.size(found) > 0, found).otherwise(inside))
+    hits = bind(exact, lambda found: F.when(F.size(found) > 0, found).otherwise(inside))
     return F.coalesce(hits, F.array().cast("array<string>"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T
+from ..functions.base import explode_if
 from ..sources.dictionary import MAX_ENTRIES, Dictionary
 
 
@@ -14,7 +15,10 @@ def relevant_events(events: DataFrame) -> DataFrame:
 
 
 def with_keywords(df: DataFrame, column: str = "technologies") -> DataFrame:
-    """Events with at least one keyword."""
+    """Events with at least one keyword, from a stored or streamed column.
+
+    Right after matching, pass ``matched_only`` to the matching operator instead.
+    """
     return df.where(F.size(column) > 0)
 
 
@@ -26,16 +30,19 @@ def event_fields(event: Column, *, unknown: str = "unknown") -> list[Column]:
             field(event["repo"]["name"], "repo_name")]
 
 
+def _add(df: DataFrame, column: str, hits: Column, matched_only: bool) -> DataFrame:
+    """Adds keyword arrays; optionally drops rows without a keyword in the same step."""
+    return df.select("*", (explode_if(hits, lambda h: F.size(h) > 0) if matched_only else hits).alias(column))
+
+
 def match_events(events: DataFrame, dictionary: Dictionary, cap: int = T.KEYWORD_CAP,
-                 body_chars: int | None = T.BODY_CHARS) -> DataFrame:
+                 body_chars: int | None = T.BODY_CHARS, matched_only: bool = False) -> DataFrame:
     """Adds ``keywords``: what an event mentions, each once, capped across its messages.
 
-    Rows stay whole and in place; no shuffle.
+    Rows stay in place; no shuffle.
     """
     messages = T.event_messages(F.col("type"), F.col("payload"), body_chars)
-    return (events.withColumn("messages", messages)
-            .withColumn("keywords", T.capped_hits(F.col("messages"), dictionary, cap))
-            .drop("messages"))
+    return _add(events, "keywords", T.capped_hits(messages, dictionary, cap), matched_only)
 
 
 def match_words(df: DataFrame, text: str, dictionary: Dictionary, keys: list[str]) -> DataFrame:
@@ -63,22 +70,23 @@ def match_words_join(df: DataFrame, text: str, dictionary: DataFrame, keys: list
     return found.join(side, "keyword").select(*keys, "keyword")
 
 
-def match_any(df: DataFrame, text: str, dictionary: Dictionary,
-              column: str = "technologies") -> DataFrame:
+def match_any(df: DataFrame, text: str, dictionary: Dictionary, column: str = "technologies",
+              matched_only: bool = False) -> DataFrame:
     """Adds the sorted keywords that are a token or (longer ones) a substring of ``text``."""
-    return df.withColumn(column, T.any_hits(F.col(text), dictionary))
+    return _add(df, column, T.any_hits(F.col(text), dictionary), matched_only)
 
 
 def match_repo(df: DataFrame, repo: str, dictionary: Dictionary, fallback: int = T.REPO_FALLBACK_KEYWORDS,
-               column: str = "technologies") -> DataFrame:
+               column: str = "technologies", matched_only: bool = False) -> DataFrame:
     """Adds the keywords of a repository name."""
-    return df.withColumn(column, T.repo_hits(F.col(repo), dictionary, fallback))
+    return _add(df, column, T.repo_hits(F.col(repo), dictionary, fallback), matched_only)
 
 
 def searchable(events: DataFrame, **limits) -> DataFrame:
     """Adds ``searchable_text`` to nested events; keyword limits as in functions.text."""
-    return events.withColumn("searchable_text", T.searchable_text(
-        F.col("type"), F.col("repo.name"), F.col("actor.login"), F.col("payload"), **limits))
+    return events.select("*", T.searchable_text(
+        F.col("type"), F.col("repo.name"), F.col("actor.login"), F.col("payload"), **limits
+    ).alias("searchable_text"))
 
 
 def keyword_stats(df: DataFrame, top: int | None = None, column: str = "technologies") -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import BODY_CHARS, KEYWORD_CAP
-from ..operators.matching import match_events, relevant_events
+from ..functions.text import BODY_CHARS, KEYWORD_CAP, capped_hits, event_messages
+from ..operators.matching import relevant_events
 from ..operators.rollups import hourly_keyword_rollup
 from ..schemas import BRONZE, conform
 from ..sources.dictionary import Dictionary
@@ -17,11 +17,12 @@ def event_matches(events: DataFrame, dictionary: Dictionary, cap: int = KEYWORD_
     """One row per event and keyword: date, hour, keyword, repo, type, event_seq.
 
     ``events`` are nested events with date and hour. The sequence number is the numeric
-    event id; ids grow with time.
+    event id; ids grow with time. Keywords are exploded where they are computed, so no
+    inferred filter computes them again.
     """
-    matched = match_events(relevant_events(events), dictionary, cap, body_chars)
-    return matched.select(
-        "date", "hour", F.explode("keywords").alias("keyword"),
+    hits = capped_hits(event_messages(F.col("type"), F.col("payload"), body_chars), dictionary, cap)
+    return relevant_events(events).select(
+        "date", "hour", F.explode(hits).alias("keyword"),
         F.coalesce("repo.name", F.lit("unknown")).alias("repo"), "type",
         F.expr("try_cast(id AS bigint)").alias("event_seq"))
 

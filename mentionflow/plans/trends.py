@@ -8,6 +8,7 @@ from ..functions import dates as D, rules as R
 from ..operators.ranking import add_dense_ranks
 from ..operators.rollups import trend_rollup
 from ..schemas import TIMEFRAMES, conform, trend_schema
+from ..session import materialize
 
 
 def window_bounds(gold: DataFrame, analysis_date: str, timeframe: str) -> DataFrame:
@@ -27,30 +28,35 @@ def window_bounds(gold: DataFrame, analysis_date: str, timeframe: str) -> DataFr
         F.lit(days).alias("days"))
 
 
-def build_trends(gold: DataFrame, analysis_date: str, timeframe: str,
-                 processed_at: Column | None = None) -> DataFrame:
-    """The trend table of one timeframe ('7d', '30d', '90d', 'alltime') as of a date.
+def trend_rows(gold: DataFrame, analysis_date: str, timeframe: str) -> DataFrame:
+    """Totals per technology inside the window, with the window's bounds.
 
-    Noise words leave after aggregation and before ranking. ``trend_direction`` is
-    always 'stable'. The date condition prunes Gold partitions.
+    The date condition prunes Gold partitions. Noise words leave after aggregation.
     """
-    t, days = timeframe, TIMEFRAMES[timeframe]
-    last = F.lit(analysis_date)
-    inside = gold.where(D.in_window(F.col("date"), last, days))
-    ranked = add_dense_ranks(
-        trend_rollup(inside).where(R.not_noise(F.col("technology"))), "total_mentions",
-        {"mention_rank": [], "category_rank": ["technology_category"]})
-    if days is None:
-        # one-row scalar subqueries, evaluated once
-        frame = window_bounds(gold, analysis_date, t)
-        start, length = frame.select("start_date").scalar(), frame.select("days").scalar()
-        head = [start.alias("data_start_date"), last.alias("data_end_date"),
-                length.alias("total_days_analyzed")]
+    inside = gold.where(D.in_window(F.col("date"), F.lit(analysis_date), TIMEFRAMES[timeframe]))
+    frame = window_bounds(gold, analysis_date, timeframe)
+    if TIMEFRAMES[timeframe] is None:
+        # one-row scalar subqueries
+        bounds = [frame.select(c).scalar().alias(c) for c in ("start_date", "end_date", "days")]
     else:
-        length = F.lit(days)
-        head = [D.window_start(last, days).alias("window_start_date"), last.alias("window_end_date")]
+        days = TIMEFRAMES[timeframe]
+        last = F.lit(analysis_date)
+        bounds = [D.window_start(last, days).alias("start_date"), last.alias("end_date"), F.lit(days).alias("days")]
+    return trend_rollup(inside).where(R.not_noise(F.col("technology"))).select("*", *bounds)
+
+
+def rank_trends(rows: DataFrame, analysis_date: str, timeframe: str,
+                processed_at: Column | None = None) -> DataFrame:
+    """Ranks and signals on ``trend_rows``; reads its input several times."""
+    t = timeframe
+    ranked = add_dense_ranks(rows, "total_mentions",
+                             {"mention_rank": [], "category_rank": ["technology_category"]})
+    names = {"start_date": "data_start_date", "end_date": "data_end_date", "days": "total_days_analyzed"}
+    if t != "alltime":
+        names = {"start_date": "window_start_date", "end_date": "window_end_date"}
     out = ranked.select(
-        last.alias("analysis_date"), *head, "technology", "technology_category",
+        F.lit(analysis_date).alias("analysis_date"), *[F.col(c).alias(n) for c, n in names.items()],
+        "technology", "technology_category",
         F.col("total_mentions").alias(f"total_mentions_{t}"),
         F.col("avg_daily_mentions").alias(f"avg_daily_mentions_{t}"),
         F.col("peak_day_mentions").alias(f"peak_day_mentions_{t}"),
@@ -59,6 +65,17 @@ def build_trends(gold: DataFrame, analysis_date: str, timeframe: str,
         F.col("mention_rank").alias(f"mention_rank_{t}"),
         F.col("category_rank").alias(f"category_rank_{t}"),
         R.hotness(F.col("avg_daily_mentions")).alias(f"hotness_signal_{t}"),
-        R.completeness_percent(F.col("days_with_activity"), length).alias(f"data_completeness_{t}"),
+        R.completeness_percent(F.col("days_with_activity"), F.col("days")).alias(f"data_completeness_{t}"),
         (F.current_timestamp() if processed_at is None else processed_at).alias("processed_at"))
     return conform(out, trend_schema(t))
+
+
+def build_trends(gold: DataFrame, analysis_date: str, timeframe: str,
+                 processed_at: Column | None = None) -> DataFrame:
+    """The trend table of one timeframe ('7d', '30d', '90d', 'alltime') as of a date.
+
+    The totals (one row per technology) are written to the scratch folder first, so the
+    rank branches do not aggregate Gold again. ``trend_direction`` is always 'stable'.
+    """
+    rows = materialize(trend_rows(gold, analysis_date, timeframe), f"trends-{timeframe}")
+    return rank_trends(rows, analysis_date, timeframe, processed_at)

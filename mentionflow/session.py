@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "mentionflow", master: str | None = None,
@@ -31,6 +31,17 @@ def build_session(app: str = "mentionflow", master: str | None = None,
     return builder.getOrCreate()
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and go on from the file.
+
+    For small intermediate results that several branches of a plan read: they are
+    computed once and survive lost executors.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for checkpoints and intermediate tables.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, StringType
 
 from ..functions import dates as D
+from ..functions.base import explode_if
 from ..schemas import EVENT
 
 _BROKEN = "_broken"
@@ -21,9 +22,8 @@ def parse_events(lines: DataFrame, column: str = "value") -> DataFrame:
     event = F.from_json(F.col(column), schema, {"columnNameOfCorruptRecord": _BROKEN})
     rest = [c for c in lines.columns if c != column]
     return (lines.where(F.length(F.trim(column)) > 0)
-            .withColumn("event", event)
-            .where(F.col("event").isNotNull() & F.col(f"event.{_BROKEN}").isNull())
-            .select(*rest, "event.*").drop(_BROKEN))
+            .select(*rest, explode_if(event, lambda e: e.isNotNull() & e[_BROKEN].isNull()).alias("event"))
+            .select(*rest, *[f"event.{name}" for name in EVENT.fieldNames()]))
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as T
-from ..operators.matching import event_fields, match_any, searchable, with_keywords
+from ..operators.matching import event_fields, match_any, searchable
 from ..schemas import EVENT
 from ..sources.dictionary import Dictionary
 from ..sources.events import parse_events, to_enriched_json
@@ -27,5 +27,5 @@ def event_stream(raw: DataFrame, dictionary: Dictionary) -> DataFrame:
 def enrich_stream(raw: DataFrame, dictionary: Dictionary) -> DataFrame:
     """Events that mention a keyword anywhere, as enriched JSON ready for the topic."""
     events = searchable(parse_events(raw))
-    kept = with_keywords(match_any(events, "searchable_text", dictionary))
+    kept = match_any(events, "searchable_text", dictionary, matched_only=True)
     return to_enriched_json(kept, EVENT.fieldNames())
