@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, functions as F
 
 from ..sources.dictionary import Dictionary, word_runs
-from .base import bind, strings
+from .base import bind, keep_in, quoted, strings
 
 # --- Fixed values: which event types count and how much of each text is searched ---
 MENTION_EVENT_TYPES = ["PushEvent", "PullRequestEvent"]
@@ -107,10 +107,7 @@ def word_hits(words: Column, dictionary: Dictionary) -> Column:
 
     Exact, because a keyword made of word characters only matches as a whole token.
     """
-    plain = dictionary.plain_words()
-    if not plain:
-        return F.array().cast("array<string>")
-    return F.array_distinct(F.filter(words, lambda t: t.isin(plain)))
+    return F.array_distinct(keep_in(words, dictionary.plain_words()))
 
 
 def phrase_hits(text: Column, words: Column, dictionary: Dictionary) -> Column:
@@ -128,18 +125,18 @@ def phrase_hits(text: Column, words: Column, dictionary: Dictionary) -> Column:
         else:
             loose.append(keyword)
 
-    def pairs(keywords: list[str]) -> Column:
-        return F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(whole_word_pattern(k)).alias("pattern"))
-                         for k in keywords])
+    def pairs(keywords: list[str]) -> str:
+        return "array(%s)" % ", ".join(
+            f"named_struct('keyword', {quoted(k)}, 'pattern', {quoted(whole_word_pattern(k))})" for k in keywords)
 
     def hits(lowered: Column, tokens_of: Column) -> Column:
         found = []
         if anchored:
-            lookup = F.create_map(*[c for a, ks in anchored.items() for c in (F.lit(a), pairs(ks))])
-            anchors = F.array_distinct(F.filter(tokens_of, lambda t: t.isin(list(anchored))))
+            lookup = F.expr("map(%s)" % ", ".join(f"{quoted(a)}, {pairs(ks)}" for a, ks in anchored.items()))
+            anchors = F.array_distinct(keep_in(tokens_of, list(anchored)))
             found.append(F.flatten(F.transform(anchors, lambda t: lookup[t])))
         if loose:
-            found.append(pairs(loose))
+            found.append(F.expr(pairs(loose)))
         kept = F.filter(F.concat(*found), lambda c: F.contains(lowered, c["keyword"])
                         & F.rlike(lowered, c["pattern"]))
         return F.transform(kept, lambda c: c["keyword"])
@@ -175,7 +172,7 @@ def any_hits(text: Column, dictionary: Dictionary) -> Column:
     four characters occur in the text, found by probing its character 4-grams, are tried.
     Both ways are exact.
     """
-    exact = F.filter(tokens(text), lambda t: t.isin(dictionary.keywords()))
+    exact = keep_in(tokens(text), dictionary.keywords())
     long = [k for k in dictionary.keywords() if len(k) >= SUBSTRING_MIN_CHARS]
     if not long:
         return F.array_sort(F.array_distinct(exact))
@@ -192,8 +189,9 @@ def _leading_gram_candidates(lowered: Column, keywords: list[str]) -> Column:
     for keyword in keywords:
         by_head.setdefault(keyword[:SUBSTRING_MIN_CHARS], []).append(keyword)
     grams = F.regexp_extract_all(lowered, F.lit(r"(?s)(?=(.{%d}))" % SUBSTRING_MIN_CHARS), F.lit(1))
-    heads = F.array_distinct(F.filter(grams, lambda g: g.isin(list(by_head))))
-    lookup = F.create_map(*[c for h, ks in by_head.items() for c in (F.lit(h), strings(ks))])
+    heads = F.array_distinct(keep_in(grams, list(by_head)))
+    lookup = F.expr("map(%s)" % ", ".join(
+        f"{quoted(h)}, array({', '.join(map(quoted, ks))})" for h, ks in by_head.items()))
     return F.flatten(F.transform(heads, lambda h: lookup[h]))
 
 
@@ -205,7 +203,7 @@ def repo_hits(repo_name: Column, dictionary: Dictionary,
     substring is taken instead.
     """
     parts = F.split(F.translate(F.lower(repo_name), "/-._", "    "), r"(?U)\s+")
-    exact = F.array_sort(F.array_distinct(F.filter(parts, lambda p: p.isin(dictionary.keywords()))))
+    exact = F.array_sort(F.array_distinct(keep_in(parts, dictionary.keywords())))
     longest = strings(dictionary.longest(fallback))
     inside = bind(F.lower(repo_name), lambda name: F.slice(
         F.filter(longest, lambda k: F.contains(name, k)), 1, 1))

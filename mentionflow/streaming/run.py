@@ -21,6 +21,7 @@ from .sink import write_batch
 TRIGGER = "3 seconds"
 RUN_MINUTES = 60
 KEEP_HOURS = 1
+LIVE_FILES = 1  # a live batch holds at most as many events as the source's rate limit
 STREAM_PARTITIONS = ["run", "batch_id", "date", "hour"]
 # --- end of fixed values ---
 
@@ -91,7 +92,8 @@ def run_streaming(spark: SparkSession, source: DataFrame, dictionary: Dictionary
     landed = spark.readStream.format("text").load(topic)
     checkpoint = checkpoint_path(spark, "count", root, fresh)
     consumer = start(event_stream(landed, dictionary), "count", checkpoint, trigger=trigger,
-                     each_batch=write_batch(table, run=checkpoint.rsplit("/", 1)[-1]))
+                     each_batch=write_batch(table, run=checkpoint.rsplit("/", 1)[-1],
+                                            files=LIVE_FILES if trigger else None))
     try:
         run_stream(consumer, minutes if trigger else None)
     finally:

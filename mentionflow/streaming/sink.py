@@ -8,9 +8,6 @@ from ..operators.matching import with_keywords
 from ..operators.rollups import stream_counts
 from ..schemas import BRONZE_STREAM, conform
 
-# Counts of one micro-batch are small; more files would only slow readers down.
-FILES_PER_BATCH = 8
-
 
 def batch_rows(batch: DataFrame, epoch: int, now: Column | None = None) -> DataFrame:
     """Counts of a micro-batch in the stream table's columns.
@@ -32,7 +29,7 @@ def batch_rows(batch: DataFrame, epoch: int, now: Column | None = None) -> DataF
     return conform(rows, BRONZE_STREAM)
 
 
-def write_batch(path: str, run: str = "default", now: Column | None = None):
+def write_batch(path: str, run: str = "default", now: Column | None = None, files: int | None = None):
     """A foreachBatch function that stores each batch in a folder of its own.
 
     A replayed batch overwrites its folder, whatever hour it is by then, so the table
@@ -40,9 +37,13 @@ def write_batch(path: str, run: str = "default", now: Column | None = None):
     checkpoint starts again at 0 and must not overwrite an earlier run. The batch is
     read once; an empty one adds no rows. Hours are folders, minutes are a column, and
     retention removes old folders, so the table stays at about an hour of batches.
+    ``files`` gathers the rows of a rate-limited batch in a few files; a backlog is
+    written in parallel without it.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = batch_rows(batch, epoch, now).drop("batch_id").coalesce(FILES_PER_BATCH)
+        rows = batch_rows(batch, epoch, now).drop("batch_id")
+        if files:
+            rows = rows.coalesce(files)
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("date", "hour").parquet(f"{path}/run={run}/batch_id=batch_{epoch}"))
 

@@ -85,6 +85,15 @@ def test_join_form_agrees(spark):
     assert one == two == {(1, "go"), (1, "rust"), (2, "été")}
 
 
+@pytest.mark.parametrize("keyword", ["o'reilly", "a\\b", "50%", 'say "x"', "${x}", "tab\tx"])
+def test_awkward_keywords(spark, keyword):
+    dictionary = words(keyword, "plain")
+    long = [keyword] if len(keyword) > 3 else []
+    assert hits(spark, f"x {keyword} plain y", dictionary, T.any_hits) == sorted([*long, "plain"])
+    found = hits(spark, f"x {keyword} plain y", dictionary)
+    assert (keyword in found) == bool(re.search(rf"\b{re.escape(keyword)}\b", f"x {keyword} plain y"))
+
+
 def twelve():
     return words(*[f"k{i}" for i in range(12)], "late")
 
