@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +33,9 @@ def build_session(app: str = "mentionflow", master: str | None = None,
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared scratch folder and go on from the file.
 
-    For small intermediate results that several branches of a plan read: they are
-    computed once and survive lost executors.
+    Cuts lineage: what several branches of a plan read is computed once and survives
+    lost executors. The scan that follows has the true size, so Spark's own broadcast
+    limit decides the joins.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -43,14 +43,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for checkpoints and intermediate tables.
+    """A fresh path for checkpoints and intermediate tables, deleted when the session ends.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``, which
-    every executor can reach. Only a local session may do without it.
+    It lies in the folder the session names in ``spark.checkpoint.dir``; where that is
+    unset, in the warehouse, which every executor can reach as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="mentionflow-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
