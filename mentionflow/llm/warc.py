@@ -72,7 +72,7 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     if that page comes twice; NULL pages and urls leave out their header lines.
     """
     html = F.coalesce("html", F.lit(""))
-    page = pages.select("page_id", "url", html.alias("html"), base32_of_hex(F.sha1(html)).alias("digest"),
+    page = pages.select("page_id", "url", html.alias("html"), F.sha1(html).alias("digest"),
                         F.octet_length(html).cast("long").alias("bytes"))
     groups = materialize(equal_payloads(page, least_bytes), "equal-payloads")
     page = page.join(groups, (F.col("digest") == F.col("of_digest")) & (F.col("bytes") == F.col("of_bytes")), "left")
@@ -89,7 +89,7 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         F.lit(f"WARC/1.1{END}WARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")), F.lit(END),
         _line("WARC-Record-ID", identity(F.col("page_id"))), _line("WARC-Target-URI", _header_text(F.col("url"))),
         _line("WARC-Date", F.date_format("capture_time", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_of_hex(F.col("digest")))),
         _line("WARC-Profile", F.when(revisit, F.lit(PROFILE))), _line("WARC-Refers-To", identity(F.col("original"))),
         F.lit(f"Content-Type: application/http; msgtype=response{END}"),
         _line("Content-Length", F.octet_length(block)), F.lit(END), block)
