@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, mixing, url_graph, warc
+from . import fingerprints, html_wrappers, mixing, url_graph, warc
 from .common import table
 
 # --- 7: mixing ---
@@ -129,5 +129,11 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
+# --- 10: HTML extraction ---
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
 SQL = {"op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}
