@@ -17,6 +17,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import ship_code
+
+ship_code(__name__)
+
 #: Code points in a shingle; a shorter text is one shingle.
 SHINGLE = 9
 #: One of so many hashes is retained.

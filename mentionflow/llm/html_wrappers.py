@@ -19,8 +19,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
+from .common import ship_code
 from .url_graph import url_host
 
+ship_code(__name__)
+
 #: Different streams of a host that one task aligns at a time.
 ALIGNED_AT_ONCE = 64
 #: Longest group of blocks that is looked for as a repetition.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, html_wrappers, mixing, url_graph, warc
+from . import fingerprints, html_wrappers, mixing, toxicity, url_graph, warc
 from .common import table
 
 # --- 7: mixing ---
@@ -135,5 +135,24 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrappers.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
+# --- 3: toxicity ---
+
+def held_out():
+    """Rows whose labels are never learned from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Model from the labelled documents that are not held out; a document with both labels counts for each."""
+    labels = labels.where(~held_out()).select("doc_id", "toxic")
+    return toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+QUERIES = {"op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
 SQL = {"op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}

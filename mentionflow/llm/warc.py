@@ -19,9 +19,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialize, scratch_path
-from .common import UPPER, lower_ascii
+from .common import UPPER, lower_ascii, ship_code
 from .url_graph import url_host
 
+ship_code(__name__)
+
 #: Records in a file: bounds what a reader holds at once.
 FILE_RECORDS = 1000
 #: Captures carry no time here; a page's is this many seconds after the epoch below plus its id.
