@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, html_wrappers, mixing, toxicity, url_graph, warc
+from . import fingerprints, html_wrappers, mixing, ngram_join, toxicity, url_graph, warc
 from .common import table
 
 # --- 7: mixing ---
@@ -154,5 +154,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
+# --- 4: n-gram Jaccard join ---
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "class_id", "component_id")
+
+
+QUERIES = {"op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
 SQL = {"op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}
