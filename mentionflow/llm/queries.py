@@ -4,9 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, html_wrappers, mixing, ngram_join, toxicity, url_graph, warc
+from . import decontaminate, fingerprints, html_wrappers, mixing, ngram_join, toxicity, url_graph, warc
 from .common import table
 
+# --- 1: benchmark decontamination ---
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP1_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[s:s + least(10, len(w)) - 1], ' ') AS g
+  FROM iw, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS t(s) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT k FROM wins),
+occ AS (
+  SELECT d.doc_id, s.k, p, array_to_string(d.w[p:p + s.k - 1], ' ') AS g
+  FROM dw d, sizes s, unnest(range(1, len(d.w) - s.k + 2)) AS t(p)),
+hit AS (SELECT o.doc_id, w.item_id, o.p, o.k FROM occ o JOIN wins w ON w.k = o.k AND w.g = o.g),
+marked AS (SELECT doc_id, count(DISTINCT p + i) AS n_hit FROM hit, unnest(range(0, k)) AS u(i) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(m.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(l.n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(l.items, '')) AS items_sha256, coalesce(m.n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN marked m ON m.doc_id = d.doc_id LEFT JOIN listed l ON l.doc_id = d.doc_id
+"""
+
 # --- 7: mixing ---
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -161,5 +191,5 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "class_id", "component_id")
 
 
-QUERIES = {"op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
-SQL = {"op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}
+QUERIES = {"op1_decontamination": op1_decontamination, "op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
+SQL = {"op1_decontamination": OP1_SQL, "op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}
