@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import materialize
 
+#: Rows of a few numbers that are broadcast at most; beyond that the same join shuffles.
+BROADCAST_ROWS = 2_000_000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,6 +44,11 @@ def unboxed(df: DataFrame, columns: list[str], added: dict[str, Column]) -> Data
     return df.select(*kept, *[value.alias(name) for name, value in added.items()])
 
 
+def bounded(rows: DataFrame) -> DataFrame:
+    """Marks rows of a few numbers for broadcast, after counting that they are few."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def numbered(df: DataFrame, order: list[Column], name: str = "_number") -> DataFrame:
     """Adds 0, 1, 2, … in the given order without bringing all rows into one task.
 

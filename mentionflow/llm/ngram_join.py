@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .common import ship_code
+from .common import bounded, ship_code
 from .graph import components
 
 ship_code(__name__)
@@ -35,8 +35,6 @@ GROUPS = 64
 FANOUT = 16
 #: Shingles of the documents that one task holds on one side of a cluster.
 BLOCK_SHINGLES = 1_000_000
-#: Ids that are broadcast at most; beyond that the same join shuffles.
-BROADCAST_IDS = 2_000_000
 #: Sizes in a band grow by this factor; documents of a band and near its end share schemes.
 BAND = 1.25
 
@@ -236,11 +234,6 @@ def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[keep, ["cluster", "a", "b"]]
 
 
-def _bounded(ids: DataFrame) -> DataFrame:
-    """Marks ids for broadcast if they are few."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
 def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(summaries with the class of every row, links between class representatives)."""
     summary = materialize(docs.mapInPandas(_summaries, "doc_id long, n long, sum_a long, sum_b long, parts array<long>"), "summaries")
@@ -258,7 +251,7 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .select("a", F.col("doc_id").alias("b")).distinct())
     pairs = materialize(pairs, "candidate-pairs")
     clusters = components(pairs)
-    members = _bounded(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")))
+    members = bounded(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")))
     sets = docs.join(members, "doc_id")
     sets = materialize(sets.select("doc_id", "text").mapInPandas(_sets, "doc_id long, shingles array<long>")
                        .join(members, "doc_id").dropDuplicates(["doc_id"]), "cluster-sets")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, fingerprints, html_wrappers, mixing, ngram_join, toxicity, url_graph, warc
-from .common import table
+from . import decontaminate, fingerprints, html_wrappers, licenses, mixing, ngram_join, toxicity, url_graph, warc
+from .common import bounded, table
 
 # --- 1: benchmark decontamination ---
 
@@ -159,6 +159,37 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# --- 8: licences ---
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.recognise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
+
+
+OP8_SQL = f"""
+WITH plain(sentence_id, sentence) AS (VALUES {_values(licenses.SENTENCES.items())}),
+rules(license, ids) AS (VALUES {_values((name, ',' + ','.join(map(str, ids)) + ',') for name, ids in licenses.RULES)}),
+cut AS (
+  SELECT doc_id, 'wrapped' AS cut, regexp_split_to_array(text, '[.!?]+(?:[ \\t\\n\\r\\f\\v]+|$)|\\n[ \\t\\r]*\\n') AS sentences FROM documents
+  UNION ALL SELECT doc_id, 'lines', regexp_split_to_array(text, '[.!?]+(?:[ \\t\\n\\r\\f\\v]+|$)|\\n+') FROM documents),
+pieces AS (SELECT doc_id, cut, unnest(sentences) AS sentence, generate_subscripts(sentences, 1) AS place FROM cut),
+clean AS (
+  SELECT doc_id, cut, place, trim(regexp_replace(translate(sentence, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\\x80-\\x{{10FFFF}}]+', ' ', 'g')) AS known FROM pieces),
+known AS (
+  SELECT sentence_id, trim(regexp_replace(translate(sentence, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\\x80-\\x{{10FFFF}}]+', ' ', 'g')) AS known FROM plain),
+sequences AS (
+  SELECT doc_id, cut, string_agg(CAST(sentence_id AS VARCHAR), ',' ORDER BY place) AS ids FROM clean JOIN known USING (known) GROUP BY doc_id, cut),
+held AS (
+  SELECT doc_id, string_agg(license, ',' ORDER BY license) AS licenses
+  FROM (SELECT DISTINCT s.doc_id, r.license FROM sequences s JOIN rules r ON contains(',' || s.ids || ',', r.ids)) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.ids, '') AS sentence_ids, coalesce(h.licenses, '') AS licenses
+FROM documents d LEFT JOIN sequences s ON s.doc_id = d.doc_id AND s.cut = 'lines' LEFT JOIN held h ON h.doc_id = d.doc_id
+"""
+
 # --- 10: HTML extraction ---
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +205,7 @@ def held_out():
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Model from the labelled documents that are not held out; a document with both labels counts for each."""
-    labels = labels.where(~held_out()).select("doc_id", "toxic")
+    labels = bounded(labels.where(~held_out()).select("doc_id", "toxic"))
     return toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
 
 
@@ -191,5 +222,5 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "class_id", "component_id")
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
-SQL = {"op1_decontamination": OP1_SQL, "op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}
+QUERIES = {"op8_licenses": op8_licenses, "op1_decontamination": op1_decontamination, "op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
+SQL = {"op8_licenses": OP8_SQL, "op1_decontamination": OP1_SQL, "op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}

@@ -9,8 +9,8 @@ toxic expressions, turned into a probability by a logistic fit on labelled texts
 counts have not seen.
 
 Counting, continuation counts and smoothing run in Spark over all labelled texts. N-grams
-are known by a hash of ``KEY_BITS`` bits, which bounds what a task has to hold: two arrays
-of 2^KEY_BITS half floats.
+and contexts are known by hashes of ``KEY_BITS`` and ``CONTEXT_BITS`` bits, which bounds
+what a task has to hold: an array of half floats for each, 36 MB together.
 """
 
 from __future__ import annotations
@@ -31,18 +31,19 @@ ship_code(__name__)
 #: Letters of an n-gram at most, with the marks for the start and end of a word.
 ORDER = 6
 DISCOUNT = 0.75
-#: Bits of an n-gram's hash: bounds the tables of ratios.
-KEY_BITS = 24
+#: Bits of the hashes of n-grams and of contexts: bound the tables of ratios.
+KEY_BITS, CONTEXT_BITS = 24, 21
 #: Labelled texts that the logistic fit may use at most; the counts use all others.
 FIT_ROWS = 20_000
 #: One of so many labelled texts (by the hash of the text) is kept from the counts for the fit.
 FIT_SHARE = 5
 #: Letters from which a word's ratio is spread over its length only.
 LEAST_LETTERS = 4
+#: Characters that are taken apart at a time; a longer text is taken alone.
+SLICE_CHARS = 2_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 _START, _END, _NONE = 1, 2, 0
-_MASK = np.uint64((1 << KEY_BITS) - 1)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 FEATURES = 6
 
@@ -77,13 +78,13 @@ class Letters:
             self.hashes.append(rolling)
         self.codes = codes
 
-    def key(self, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def key(self, size: np.ndarray, at: np.ndarray, bits: int = KEY_BITS) -> np.ndarray:
         """Keys of the n-grams of the given sizes that end at the given places."""
         out = np.empty(len(at), np.uint64)
         for n in range(1, ORDER + 1):
             here = size == n
             out[here] = self.hashes[n - 1][at[here]]
-        return (out & _MASK).astype(np.int64)
+        return (out & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def _word_counts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,12 +108,12 @@ def _gram_counts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = np.flatnonzero(letters.place > 0)
         size = np.minimum(letters.place[at], ORDER - 1) + 1
         ordinary, toxic = (batch[c].to_numpy()[letters.word[at]] for c in ("ordinary", "toxic"))
-        frames = [pd.DataFrame({"context": letters.key(size - 1, at - 1), "gram": letters.key(size, at), "level": ORDER, "before": _NONE,
+        frames = [pd.DataFrame({"context": letters.key(size - 1, at - 1, CONTEXT_BITS), "gram": letters.key(size, at), "level": ORDER, "before": _NONE,
                                 "ordinary": ordinary, "toxic": toxic})]
         for n in range(1, ORDER):
             longer = at[size > n]
             frames.append(pd.DataFrame({
-                "context": letters.key(np.full(len(longer), n - 1), longer - 1) if n > 1 else 0,
+                "context": letters.key(np.full(len(longer), n - 1), longer - 1, CONTEXT_BITS) if n > 1 else 0,
                 "gram": letters.key(np.full(len(longer), n), longer), "level": n,
                 "before": letters.codes[longer - n].astype(np.int64), "ordinary": 0, "toxic": 0}))
         whole = pd.concat(frames)
@@ -185,10 +186,10 @@ def ratios(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_gram.groupBy("gram").agg(F.avg("ratio").alias("ratio")), by_context
 
 
-def dense(table: DataFrame, key: str) -> np.ndarray:
-    """Array of ratios by key, NaN where there is none; at most 2^KEY_BITS rows reach the driver."""
-    rows = table.select(F.col(key).alias("key"), F.col("ratio").cast("float").alias("ratio")).toPandas()
-    out = np.full(1 << KEY_BITS, np.nan, np.float16)
+def dense(table: DataFrame, key: str, bits: int) -> np.ndarray:
+    """Array of ratios by key, NaN where there is none; at most 2^bits rows of 8 bytes reach the driver."""
+    rows = table.select(F.col(key).cast("int").alias("key"), F.col("ratio").cast("float").alias("ratio")).toArrow()
+    out = np.full(1 << bits, np.nan, np.float16)
     out[rows["key"].to_numpy()] = np.clip(rows["ratio"].to_numpy(), -30, 30)
     return out
 
@@ -199,14 +200,30 @@ def word_ratios(words: list[str], by_gram: np.ndarray, by_context: np.ndarray) -
     at = np.flatnonzero(letters.place > 0)
     size = np.minimum(letters.place[at], ORDER - 1) + 1
     found = by_gram[letters.key(size, at)].astype(np.float32)
-    backoff = by_context[letters.key(size - 1, at - 1)].astype(np.float32)
+    backoff = by_context[letters.key(size - 1, at - 1, CONTEXT_BITS)].astype(np.float32)
     ratio = np.where(np.isnan(found), np.nan_to_num(backoff), found)
     whole = np.bincount(letters.word[at], ratio, len(words))
     return whole, whole / np.maximum(letters.lengths, LEAST_LETTERS)
 
 
+def slices(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in order, a bounded number of characters at a time."""
+    part, chars = [], 0
+    for text in texts:
+        if part and chars + len(text) > SLICE_CHARS:
+            yield part
+            part, chars = [], 0
+        part.append(text)
+        chars += len(text)
+    yield part
+
+
 def features(texts: list[str], by_gram: np.ndarray, by_context: np.ndarray) -> np.ndarray:
     """FEATURES numbers for each text; zeros for a text without words."""
+    return np.vstack([_features(part, by_gram, by_context) for part in slices(texts)])
+
+
+def _features(texts: list[str], by_gram: np.ndarray, by_context: np.ndarray) -> np.ndarray:
     tokens = [words_of(t) for t in texts]
     sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
     out = np.zeros((len(texts), FEATURES))
@@ -286,7 +303,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Mode
     draw = F.pmod(F.xxhash64("text"), F.lit(FIT_SHARE))
     words = materialize(count_words(rows.where(draw != 0)), "toxicity-words")
     by_gram, by_context = ratios(words)
-    model = Model(spark, dense(by_gram, "gram"), dense(by_context, "context"))
+    model = Model(spark, dense(by_gram, "gram", KEY_BITS), dense(by_context, "context", CONTEXT_BITS))
     sample = rows.where(draw == 0).orderBy(F.xxhash64("text", F.lit(1)), "toxic").limit(FIT_ROWS)
     fitted = model.featured(sample, "toxic int").toPandas()
     x = np.array(fitted["features"].tolist(), float).reshape(-1, FEATURES)
