@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, fingerprints, html_wrappers, licenses, mixing, ngram_join, toxicity, url_graph, warc
+from . import chat, decontaminate, fingerprints, html_wrappers, licenses, mixing, ngram_join, toxicity, url_graph, warc
 from .common import bounded, table
 
 # --- 1: benchmark decontamination ---
@@ -196,6 +196,30 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrappers.extract(table(spark, sf_dir, "pages"))
 
 
+# --- 2: chat formatting ---
+
+#: What speakers are called in the transcripts that are made of the conversations.
+SPEAKERS = [("System: ", "User: ", "Assistant: "), ("[system] ", "Human: ", "AI: "), ("### Instructions:", "### Question: ", "### Answer: "), ("", "", "")]
+
+
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """Conversations as transcripts: a style of markers each, every fourth turn without its marker."""
+    styles = F.array(*[F.array(*map(F.lit, names)) for names in SPEAKERS])
+    draw = lambda *columns: F.pmod(F.xxhash64(*columns), F.lit(4)).cast("int")
+    names = F.element_at(styles, draw("conv_id") + 1)
+    role = F.array_position(F.array(*map(F.lit, chat.ROLES)), F.col("role")).cast("int")
+    marker = F.when((role > 0) & (draw("conv_id", "turn") > 0), F.element_at(names, role)).otherwise("")
+    return conversations.select("conv_id", "turn", "role", F.concat(marker, F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles of the lines of all transcripts by a model of four fifths of the conversations; ``role`` is the true one."""
+    pieces = transcripts(table(spark, sf_dir, "conversations"))
+    known = pieces.where(F.crc32(F.col("conv_id").cast("string")) % 5 != 0)
+    model = chat.train(chat.transcript_lines(known, ["role"]))
+    return chat.parse(pieces, model, ["role"])
+
+
 # --- 3: toxicity ---
 
 def held_out():
@@ -222,5 +246,5 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "class_id", "component_id")
 
 
-QUERIES = {"op8_licenses": op8_licenses, "op1_decontamination": op1_decontamination, "op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
+QUERIES = {"op2_chat_formatting": op2_chat_formatting, "op8_licenses": op8_licenses, "op1_decontamination": op1_decontamination, "op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
 SQL = {"op8_licenses": OP8_SQL, "op1_decontamination": OP1_SQL, "op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}
