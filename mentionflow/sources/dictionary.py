@@ -116,5 +116,5 @@ def load_dictionary(spark: SparkSession, path: str = DEFAULT_PATH, min_chars: in
 def category_groups(spark: SparkSession) -> DataFrame:
     """The category hierarchy as a dimension: group, category, example technology."""
     rows = [(group, category, example) for group, categories in CATEGORY_HIERARCHY.items()
-            for category, examples in categories.items() for example in examples.split()]
+            for category, examples in categories.items() for example in examples]
     return spark.createDataFrame(rows, "category_group string, technology_category string, example string")
