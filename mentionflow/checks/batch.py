@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D, rules as R
-from ..operators import gaps, quality, ranking, rollups
+from ..operators import gaps, quality, ranking, rollups, sampling
 from ..operators.versions import read_as_of, recent, retain_hours, retention_report, without
 from ..plans.status import dates_exist
 from ..sources.events import with_provenance
@@ -226,13 +226,13 @@ def j6(spark, sf):
 _UNPROCESSED = f"""WITH bounds AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem),
 days AS (SELECT strftime(unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 DAY)), '%Y-%m-%d') AS date FROM bounds)
 SELECT date FROM days WHERE date NOT BETWEEN '1996-01-10' AND '1996-02-20'
-  AND date NOT IN (SELECT {SHIP_DATES} FROM lineitem GROUP BY 1 HAVING count(*) > 5)"""
+  AND date NOT IN (SELECT {SHIP_DATES} FROM lineitem GROUP BY 1 HAVING count(*) > 20)"""
 
 
 def _unprocessed(spark, sf):
     items = _items(spark, sf)
     lo, hi = items.agg(F.min("date").alias("d")).scalar(), items.agg(F.max("date").alias("d")).scalar()
-    return gaps.unprocessed_dates(items, lo, hi, ("1996-01-10", "1996-02-20"))
+    return gaps.unprocessed_dates(items, lo, hi, ("1996-01-10", "1996-02-20"), minimum=20)
 
 
 @check("j7_unprocessed_dates", _UNPROCESSED)
@@ -267,10 +267,11 @@ def o3(spark, sf):
     return ranking.top_n(I.table(spark, sf, "events"), [F.desc("ts"), "event_id"], 10).select("event_id", "event_type")
 
 
-@check("o5_sample")
+@check("o5_sample", """SELECT event_id, event_type FROM events
+WHERE CAST(CAST('0x' || substr(md5('42|' || event_id), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656 < 0.1""")
 def o5(spark, sf):
-    """Bernoulli sample, spread over tasks again; which rows fall in is up to the sampler."""
-    return I.table(spark, sf, "events").sample(0.1, seed=42).repartition(8).select("event_id", "event_type")
+    """Bernoulli sample by key, spread over tasks again."""
+    return sampling.spread(sampling.sample_rows(I.table(spark, sf, "events"), 0.1, ["event_id"], 42), 8).select("event_id", "event_type")
 
 
 # --- U: set operations ---

@@ -44,15 +44,14 @@ def _messages(spark, sf, body_chars):
         _id(), F.size(messages).alias("messages"), F.array_join(messages, "|").alias("joined"))
 
 
-@check("p3_event_messages", f"""WITH {I.DOCS_SQL}, {I.messages_sql('substring(text, 1, 500)')}
+@check("p3_event_messages", f"""WITH {I.DOCS_SQL}, {I.MESSAGES_SQL}
 SELECT doc_id, CAST(len(messages) AS INTEGER) AS messages, array_to_string(messages, '|') AS joined
 FROM msg_lists""")
 def p3(spark, sf):
-    """Messages as the event format has them: a pull-request body counts up to 500 characters."""
-    return _messages(spark, sf, T.BODY_CHARS)
+    return _messages(spark, sf, None)
 
 
-@check("p3_event_messages_whole", f"""WITH {I.DOCS_SQL}, {I.messages_sql('text')}
+@check("p3_event_messages_whole", f"""WITH {I.DOCS_SQL}, {I.MESSAGES_SQL}
 SELECT doc_id, CAST(len(messages) AS INTEGER) AS messages, array_to_string(messages, '|') AS joined
 FROM msg_lists""")
 def p3_whole(spark, sf):
@@ -64,12 +63,9 @@ def p4(spark, sf):
     return M.searchable(I.doc_events(spark, sf)).select(_id(), "searchable_text")
 
 
-WHOLE = {"commits": None, "commit_chars": None, "description_chars": None, "title_chars": None}
-
-
-@check("p4_searchable_text_whole", f"WITH {I.DOCS_SQL}, {I.SEARCH_WHOLE_SQL} SELECT doc_id, searchable_text FROM search")
+@check("p4_searchable_text_whole", f"WITH {I.DOCS_SQL}, {I.SEARCH_SQL} SELECT doc_id, searchable_text FROM search")
 def p4_whole(spark, sf):
-    return M.searchable(I.doc_events(spark, sf), **WHOLE).select(_id(), "searchable_text")
+    return M.searchable(I.doc_events(spark, sf)).select(_id(), "searchable_text")
 
 
 @check("p5_with_keywords", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_SQL}, {I.ANY_SQL}
@@ -116,10 +112,10 @@ def m4(spark, sf):
     return hits.select(_id(), F.array_join("technologies", ",").alias("technologies"))
 
 
-@check("m4_any_match_whole", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_WHOLE_SQL}, {I.ANY_SQL}
+@check("m4_any_match_whole", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_SQL}, {I.ANY_SQL}
 SELECT doc_id, string_agg(keyword, ',' ORDER BY keyword) AS technologies FROM any_hits GROUP BY doc_id""")
 def m4_whole(spark, sf):
-    events = M.searchable(I.doc_events(spark, sf), **WHOLE)
+    events = M.searchable(I.doc_events(spark, sf))
     hits = M.match_any(events, "searchable_text", I.TEXT_DICTIONARY, matched_only=True)
     return hits.select(_id(), F.array_join("technologies", ",").alias("technologies"))
 
@@ -135,9 +131,10 @@ def j3(spark, sf):
     return _docs(spark, sf).select("doc_id", F.explode(T.any_hits(F.col("text"), I.TEXT_DICTIONARY)).alias("keyword"))
 
 
-@check("j2_token_join", f"""WITH {_TOKENS},
+@check("j2_token_join", r"""WITH toks AS MATERIALIZED (
+  SELECT DISTINCT doc_id, lang, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS keyword FROM documents),
 words AS (SELECT DISTINCT lower(word) AS keyword FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part)
-          UNION SELECT lower(c_mktsegment) FROM customer UNION SELECT keyword FROM toks JOIN documents USING (doc_id) WHERE lang <> 'en')
+          UNION SELECT lower(c_mktsegment) FROM customer UNION SELECT keyword FROM toks WHERE lang <> 'en')
 SELECT doc_id, keyword FROM toks JOIN words USING (keyword)""")
 def j2(spark, sf):
     """A dictionary that grows with the data: part names, segments, words of other languages."""
@@ -195,7 +192,7 @@ def s12(spark, sf):
 
 @check("s7_enriched_json", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_SQL}, {I.ANY_SQL}
 SELECT doc_id, type, repo, string_agg(keyword, ',' ORDER BY keyword) AS extracted_keywords,
-  substring(searchable_text, 1, 300) AS searchable_text, '2.0_enhanced' AS producer_version
+  searchable_text, '2.0_enhanced' AS producer_version
 FROM any_hits JOIN search USING (doc_id) GROUP BY doc_id, type, repo, searchable_text""")
 def s7(spark, sf):
     """Written as JSON documents, read back by field."""

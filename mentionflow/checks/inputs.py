@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- events -> Bronze -> Silver -> Gold -> trends ---
 
 EVENT_DICTIONARY = Dictionary.of(
-    [(f"{kind}-{i}", raw) for kind, raw in (
+    [(f"{kind}-{i}", "testing" if (kind, i) == ("error", 6) else raw) for kind, raw in (
         ("view", "language"), ("click", "database"), ("purchase", "css_framework"), ("error", "ai_model"))
      for i in range(7)])
 
@@ -102,9 +102,9 @@ silver AS (
 GOLD_SQL = SILVER_SQL + """,
 gold AS (
   SELECT date, technology, daily_mentions, daily_repo_mentions, daily_event_mentions, primary_repository,
-    CASE split_part(technology, '-', 1) WHEN 'view' THEN 'language' WHEN 'click' THEN 'database'
+    CASE WHEN technology = 'error-6' THEN 'testing' ELSE CASE split_part(technology, '-', 1) WHEN 'view' THEN 'language' WHEN 'click' THEN 'database'
       WHEN 'purchase' THEN 'web_framework' WHEN 'error' THEN 'ai_model'
-      ELSE 'development_tool' END AS technology_category,
+      ELSE 'development_tool' END END AS technology_category,
     CASE WHEN daily_mentions >= 1000 THEN 'high' WHEN daily_mentions >= 100 THEN 'medium'
       WHEN daily_mentions >= 10 THEN 'low' ELSE 'minimal' END AS mention_volume,
     CASE WHEN daily_mentions > 0 THEN 'complete' ELSE 'empty' END AS data_completeness
@@ -224,21 +224,24 @@ phrases(keyword, pattern) AS (VALUES
 
 
 def doc_events(spark, sf_dir, frame: DataFrame | None = None) -> DataFrame:
-    """Documents as events with date and hour; the type follows the document number."""
+    """Documents as events with date and hour; the type follows the document number.
+
+    The whole text is what each type searches. The repository is named by source, language
+    and first word; where it is the subject, the text is not.
+    """
     d = table(spark, sf_dir, "documents") if frame is None else frame
     kind = F.col("doc_id") % 5
     lines = F.split("text", "\n")
-    first = lines[0]
     word = F.regexp_extract(F.lower("text"), r"([\p{L}\p{N}_]+)", 1)
     payload = F.struct(
         F.when(kind == 0, F.transform(lines, lambda x: F.struct(x.alias("message")))).alias("commits"),
         F.when(kind == 1, F.struct(
-            first.alias("title"), F.col("text").alias("body"),
+            F.col("text").alias("title"), F.col("text").alias("body"),
             F.struct(F.concat("lang", F.lit("/"), word).alias("ref")).alias("head"))).alias("pull_request"),
         F.when(kind == 2, F.col("text")).alias("description"),
         F.when(kind == 2, F.col("lang")).alias("ref"),
-        F.when(kind == 3, F.struct(first.alias("name"), F.col("source").alias("tag_name"))).alias("release"),
-        F.when(kind == 4, F.struct(first.alias("title"))).alias("issue"))
+        F.when(kind == 3, F.struct(F.col("text").alias("name"), F.col("source").alias("tag_name"))).alias("release"),
+        F.when(kind == 4, F.struct(F.col("text").alias("title"))).alias("issue"))
     kinds = ["PushEvent", "PullRequestEvent", "CreateEvent", "ReleaseEvent", "IssuesEvent"]
     return d.select(
         F.col("doc_id").cast("string").alias("id"),
@@ -263,13 +266,12 @@ docs AS (
 doc_ev AS (SELECT *, source || '/' || lang || '-' || word AS repo FROM docs)"""
 
 
-def messages_sql(body: str) -> str:
-    """CTE ``msgs``: one row per message and position; ``body`` is the pull-request body text."""
-    return f"""
+#: CTE ``msgs``: one row per message and position.
+MESSAGES_SQL = """
 msg_lists AS (
   SELECT doc_id, date, hour, repo, type,
     list_filter(CASE doc_id % 5 WHEN 0 THEN list_transform(lines, lambda x: lower(x))
-      WHEN 1 THEN [lower(lines[1]), lower({body})] ELSE CAST([] AS VARCHAR[]) END,
+      WHEN 1 THEN [lower(text), lower(text)] ELSE CAST([] AS VARCHAR[]) END,
       lambda x: x IS NOT NULL AND x <> '') AS messages
   FROM doc_ev),
 msgs AS (
@@ -278,7 +280,7 @@ msgs AS (
   FROM msg_lists)"""
 
 
-# Keywords per message row of a CTE ``msgs``; then the first position of each and the cap.
+# Keywords per message row of a CTE ``msgs``; then the first position of each.
 CAPPED_SQL = r"""
 msg_hits AS (
   SELECT doc_id, pos, keyword FROM (
@@ -290,31 +292,17 @@ msg_hits AS (
 first_hits AS (SELECT doc_id, keyword, min(pos) AS pos FROM msg_hits GROUP BY doc_id, keyword),
 capped AS (
   SELECT doc_id, keyword FROM (
-    SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS found_before FROM first_hits)
-  WHERE found_before <= 10)"""
+    SELECT * FROM first_hits))"""
 
 SEARCH_SQL = r"""
-search AS (
-  SELECT doc_id, date, repo, type, source, lang, lower(concat_ws(' ', repo, lang || '-' || word, type, source,
-    CASE doc_id % 5
-      WHEN 0 THEN nullif(array_to_string(list_transform(
-        list_filter(lines[1:3], lambda x: x <> ''), lambda x: substring(lower(x), 1, 200)), ' '), '')
-      WHEN 1 THEN concat_ws(' ', nullif(lines[1], ''), lang || '/' || word)
-      WHEN 2 THEN concat_ws(' ', substring(lower(text), 1, 200), lang)
-      WHEN 3 THEN concat_ws(' ', nullif(lines[1], ''), source)
-      ELSE nullif(substring(lower(lines[1]), 1, 100), '') END)) AS searchable_text
-  FROM doc_ev)"""
-
-# Every limit of the searchable text lifted.
-SEARCH_WHOLE_SQL = r"""
 search AS (
   SELECT doc_id, date, repo, type, source, lang, lower(concat_ws(' ', repo, lang || '-' || word, type, source,
     CASE doc_id % 5
       WHEN 0 THEN nullif(array_to_string(list_filter(lines, lambda x: x <> ''), ' '), '')
-      WHEN 1 THEN concat_ws(' ', nullif(lines[1], ''), lang || '/' || word)
+      WHEN 1 THEN concat_ws(' ', nullif(text, ''), lang || '/' || word)
       WHEN 2 THEN concat_ws(' ', text, lang)
-      WHEN 3 THEN concat_ws(' ', nullif(lines[1], ''), source)
-      ELSE nullif(lines[1], '') END)) AS searchable_text
+      WHEN 3 THEN concat_ws(' ', nullif(text, ''), source)
+      ELSE nullif(text, '') END)) AS searchable_text
   FROM doc_ev)"""
 
 ANY_SQL = r"""
@@ -391,7 +379,7 @@ responses AS (
   FROM pages),
 split AS (
   SELECT *, CASE WHEN kind > 2 THEN body END AS response_data,
-    CASE WHEN kind = 1 THEN 'Invalid JSON response' WHEN kind IN (0, 2) THEN substring(body, 1, 500) END
+    CASE WHEN kind = 1 THEN 'Invalid JSON response' WHEN kind IN (0, 2) THEN body END
       AS error_text
   FROM responses)"""
 

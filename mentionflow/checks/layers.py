@@ -106,6 +106,14 @@ def w1_orders(spark, sf):
     return ranking.add_dense_ranks(orders, "price", {"price_rank": []}).drop("price")
 
 
+@check("w1_signed_rank", """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY CAST(floor(c_acctbal) AS BIGINT) DESC) AS INTEGER) AS balance_rank,
+  CAST(dense_rank() OVER (PARTITION BY c_nationkey ORDER BY CAST(floor(c_acctbal) AS BIGINT) DESC) AS INTEGER) AS nation_rank FROM customer""")
+def w1_signed(spark, sf):
+    """Values of both signs."""
+    balances = I.table(spark, sf, "customer").select("c_custkey", "c_nationkey", F.floor("c_acctbal").alias("balance"))
+    return ranking.add_dense_ranks(balances, "balance", {"balance_rank": [], "nation_rank": ["c_nationkey"]}).drop("balance", "c_nationkey")
+
+
 @check("w2_category_rank", _RANKED + """
 SELECT technology, technology_category, total_mentions,
   CAST(dense_rank() OVER (PARTITION BY technology_category ORDER BY total_mentions DESC) AS INTEGER)
@@ -166,7 +174,7 @@ def w7(spark, sf):
 
 # --- layers ---
 
-@check("g1_bronze_from_documents", f"""WITH {I.DOCS_SQL}, {I.messages_sql('substring(text, 1, 500)')},
+@check("g1_bronze_from_documents", f"""WITH {I.DOCS_SQL}, {I.MESSAGES_SQL},
 {I.DICT_SQL}, {I.PHRASES_SQL}, {I.CAPPED_SQL},
 found AS (SELECT date, hour, keyword, repo, doc_id FROM capped JOIN doc_ev USING (doc_id)),
 per_repo AS (SELECT date, hour, keyword, repo, count(*) AS n, min(doc_id) AS first_seen
@@ -183,13 +191,13 @@ def g1(spark, sf):
     return build_bronze(I.doc_events(spark, sf), I.TEXT_DICTIONARY, I.stamp()).drop("processing_time")
 
 
-@check("g1_bronze_whole_bodies", f"""WITH {I.DOCS_SQL}, {I.messages_sql('text')},
+@check("g1_bronze_whole_bodies", f"""WITH {I.DOCS_SQL}, {I.MESSAGES_SQL},
 {I.DICT_SQL}, {I.PHRASES_SQL}, {I.CAPPED_SQL}
 SELECT date, hour, keyword, repo, count(*) AS mentions FROM capped JOIN doc_ev USING (doc_id)
 GROUP BY date, hour, keyword, repo""")
 def g1_whole(spark, sf):
     """The same matching with pull-request bodies searched in full."""
-    found = event_matches(I.doc_events(spark, sf), I.TEXT_DICTIONARY, body_chars=None)
+    found = event_matches(I.doc_events(spark, sf), I.TEXT_DICTIONARY)
     return found.groupBy("date", "hour", "keyword", "repo").agg(F.count("*").alias("mentions"))
 
 

@@ -19,10 +19,15 @@ from .events import REPO_DICTIONARY, _REPO_SQL
 from .registry import check
 
 
+#: Micro-batches that a streamed table is dealt into.
+BATCHES = 4
+
+
 def _stream(spark, sf, name):
-    """A table as a file stream."""
-    schema = I.table(spark, sf, name).schema
-    return read_event_stream(spark, "parquet", sf, schema, {"pathGlobFilter": f"{name}.parquet", "maxFilesPerTrigger": "1"})
+    """A table as a stream of several files, one in each micro-batch."""
+    rows, path = I.table(spark, sf, name), scratch_path(spark, f"stream-{name}")
+    rows.repartition(BATCHES).write.parquet(path)
+    return read_event_stream(spark, "parquet", path, rows.schema, {"maxFilesPerTrigger": "1"})
 
 
 def _raw_documents(spark, sf):
@@ -154,7 +159,7 @@ def x8(spark, sf):
 
 @check("x9_enrich_stream", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_SQL}, {I.ANY_SQL}
 SELECT doc_id, type, string_agg(keyword, ',' ORDER BY keyword) AS extracted_keywords,
-  substring(searchable_text, 1, 300) AS searchable_text
+  searchable_text AS searchable_text
 FROM any_hits JOIN search USING (doc_id) GROUP BY doc_id, type, searchable_text""")
 def x9(spark, sf):
     sent = _landed(spark, enrich_stream(_raw_documents(spark, sf), I.TEXT_DICTIONARY), "x9")
@@ -164,15 +169,30 @@ def x9(spark, sf):
         F.array_join("e.extracted_keywords", ",").alias("extracted_keywords"), "e.searchable_text")
 
 
-@check("g10_streaming_run", f"""{_REPO_SQL}, {I.SEARCH_SQL},
+_RUN_SQL = f"""{_REPO_SQL}, {I.SEARCH_SQL},
 kept AS (SELECT DISTINCT doc_id FROM search, rdict
   WHERE list_contains(regexp_extract_all(searchable_text, '[\\p{{L}}\\p{{N}}_]+'), keyword)
      OR (length(keyword) > 3 AND contains(searchable_text, keyword)))
 SELECT keyword, repo AS top_repo, count(*) AS mentions
 FROM (SELECT * FROM exact UNION ALL SELECT * FROM inside) JOIN doc_ev USING (doc_id)
-WHERE doc_id IN (SELECT doc_id FROM kept) GROUP BY keyword, repo""")
+WHERE doc_id IN (SELECT doc_id FROM kept) GROUP BY keyword, repo"""
+
+
+@check("g10_streaming_run", _RUN_SQL)
 def g10(spark, sf):
     """Producer and consumer: enriched events land, are matched by repository and counted."""
     table = S.run_streaming(spark, _raw_documents(spark, sf), REPO_DICTIONARY, scratch_path(spark, "g10"), trigger=None)
     return (T.read_table(spark, table, BRONZE_STREAM).groupBy("keyword", "top_repo")
             .agg(F.sum("mentions").alias("mentions")))
+
+
+@check("g10_streaming_restart", _RUN_SQL)
+def g10_restart(spark, sf):
+    """Two runs on one root, each after half of the events has landed."""
+    root, landed = scratch_path(spark, "g10-restart"), scratch_path(spark, "g10-landed")
+    events = I.doc_events(spark, sf).select(F.to_json(F.struct(*EVENT.fieldNames())).alias("value"), F.col("id").cast("long").alias("n"))
+    for half in (0, 1):
+        events.where(F.col("n") % 2 == half).select("value").write.mode("append").text(landed)
+        table = S.run_streaming(spark, read_event_stream(spark, "text", landed), REPO_DICTIONARY, root, trigger=None)
+    return (T.read_table(spark, table, BRONZE_STREAM).groupBy("keyword", "top_repo")
+            .agg(F.sum("mentions").alias("mentions")))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import dates as D
 from ..operators.rollups import counts_by
@@ -149,6 +149,40 @@ def s18(spark, sf):
     return T.read_table(spark, path, SILVER).select("date", "technology", "daily_mentions")
 
 
+_CODED = StructType([StructField("c_custkey", LongType()), StructField("part", StringType())])
+
+
+def _coded_customers(spark, sf, path):
+    """Customers in partitions whose folder names need coding: colons, slashes, blanks, NULL."""
+    part = F.when(F.col("c_nationkey") > 1, F.concat("c_mktsegment", F.lit(": a/b="), (F.col("c_nationkey") % 3).cast("string")))
+    rows = I.table(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), part.alias("part"))
+    T.replace_partitions(rows, path, ["part"])
+    return T.read_table(spark, path, _CODED)
+
+
+_CODED_SQL = """coded AS (SELECT CAST(c_custkey AS BIGINT) AS c_custkey,
+  CASE WHEN c_nationkey > 1 THEN c_mktsegment || ': a/b=' || CAST(c_nationkey % 3 AS VARCHAR) END AS part FROM customer)"""
+
+
+@check("f4_coded_partitions", f"""WITH {_CODED_SQL}
+SELECT c_custkey, part FROM coded WHERE NOT coalesce(part LIKE 'B%' OR c_custkey % 7 = 0, c_custkey % 7 = 0)""")
+def f4_coded(spark, sf):
+    """Whole partitions and rows of others deleted, NULL partition included."""
+    path = scratch_path(spark, "delete-coded")
+    _coded_customers(spark, sf, path)
+    T.delete_where(spark, path, _CODED, F.coalesce(F.col("part").startswith("B"), F.lit(False)) | (F.col("c_custkey") % 7 == 0), ["part"])
+    return T.read_table(spark, path, _CODED)
+
+
+@check("x8_coded_retention", f"WITH {_CODED_SQL} SELECT c_custkey, part FROM coded WHERE part IS NOT NULL")
+def x8_coded(spark, sf):
+    """The NULL partition dropped as a folder."""
+    path = scratch_path(spark, "drop-coded")
+    _coded_customers(spark, sf, path)
+    T.drop_partitions(spark, path, [{"part": None}], ["part"])
+    return T.read_table(spark, path, _CODED)
+
+
 @check("f4_delete_rows", f"""WITH {I.SILVER_SQL}
 SELECT date, technology, daily_mentions FROM silver
 WHERE NOT (date < '2024-01-05' OR (date = '2024-01-20' AND daily_mentions < 8))""")

@@ -20,6 +20,8 @@ STORED_TEXT_CHARS = 300
 KEYWORD_CAP = 10
 REPO_FALLBACK_KEYWORDS = 20
 SUBSTRING_MIN_CHARS = 4
+LIVE_LIMITS = {"commits": SEARCH_COMMITS, "commit_chars": COMMIT_CHARS, "description_chars": DESCRIPTION_CHARS,
+               "title_chars": ISSUE_TITLE_CHARS}
 # --- end of fixed values ---
 
 # Up to this many long keywords a direct substring test is as fast as scanning 4-grams.
@@ -37,10 +39,10 @@ def _present(parts: Column) -> Column:
     return F.filter(parts, lambda p: p.isNotNull() & (p != ""))
 
 
-def event_messages(event_type: Column, payload: Column, body_chars: int | None = BODY_CHARS) -> Column:
+def event_messages(event_type: Column, payload: Column, body_chars: int | None = None) -> Column:
     """Ordered lower-cased messages: commit messages of a push, title and body of a pull request.
 
-    The pull-request body counts up to ``body_chars``; ``None`` searches all of it.
+    ``body_chars`` limits the pull-request body (the live format has BODY_CHARS).
     """
     commits = F.transform(payload["commits"], lambda c: F.lower(c["message"]))
     pull = payload["pull_request"]
@@ -51,12 +53,12 @@ def event_messages(event_type: Column, payload: Column, body_chars: int | None =
 
 
 def searchable_text(event_type: Column, repo_name: Column, actor: Column, payload: Column,
-                    commits: int | None = SEARCH_COMMITS, commit_chars: int | None = COMMIT_CHARS,
-                    description_chars: int | None = DESCRIPTION_CHARS,
-                    title_chars: int | None = ISSUE_TITLE_CHARS) -> Column:
+                    commits: int | None = None, commit_chars: int | None = None,
+                    description_chars: int | None = None,
+                    title_chars: int | None = None) -> Column:
     """Repository, type, actor and the payload texts of the event type, joined by spaces.
 
-    Each limit is part of the event format; ``None`` lifts it.
+    All of each text counts unless it is limited; LIVE_LIMITS are those of the live format.
     """
     pushed = _present(F.transform(payload["commits"], lambda c: c["message"]))
     if commits is not None:
@@ -154,11 +156,13 @@ def whole_word_hits(text: Column, dictionary: Dictionary) -> Column:
         F.concat(word_hits(words, dictionary), phrase_hits(text, words, dictionary))))
 
 
-def capped_hits(messages: Column, dictionary: Dictionary, cap: int = KEYWORD_CAP) -> Column:
-    """Distinct keywords of an event; later messages are skipped once more than ``cap`` are found.
+def capped_hits(messages: Column, dictionary: Dictionary, cap: int | None = None) -> Column:
+    """Distinct keywords of an event; with a ``cap``, later messages are skipped once more than that are found.
 
     The message that passes the cap still counts in full.
     """
+    if cap is None:
+        return F.array_distinct(F.flatten(F.transform(messages, lambda m: whole_word_hits(m, dictionary))))
     none = F.array().cast("array<string>")
     return F.aggregate(messages, none, lambda found, message: F.when(F.size(found) > cap, found)
                        .otherwise(F.array_union(found, whole_word_hits(message, dictionary))))
@@ -196,15 +200,15 @@ def _leading_gram_candidates(lowered: Column, keywords: list[str]) -> Column:
 
 
 def repo_hits(repo_name: Column, dictionary: Dictionary,
-              fallback: int = REPO_FALLBACK_KEYWORDS) -> Column:
+              fallback: int | None = None) -> Column:
     """Keywords among the parts of a repository name.
 
-    When no part is a keyword, the first of the ``fallback`` longest keywords that is a
-    substring is taken instead.
+    When no part is a keyword, the longest keyword that is a substring is taken instead;
+    ``fallback`` tries only so many of the longest.
     """
     parts = F.split(F.translate(F.lower(repo_name), "/-._", "    "), r"(?U)\s+")
     exact = F.array_sort(F.array_distinct(keep_in(parts, dictionary.keywords())))
-    longest = strings(dictionary.longest(fallback))
+    longest = strings(dictionary.longest(fallback or len(dictionary.entries)))
     inside = bind(F.lower(repo_name), lambda name: F.slice(
         F.filter(longest, lambda k: F.contains(name, k)), 1, 1))
     hits = bind(exact, lambda found: F.when(F.size(found) > 0, found).otherwise(inside))

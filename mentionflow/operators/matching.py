@@ -35,9 +35,9 @@ def _add(df: DataFrame, column: str, hits: Column, matched_only: bool) -> DataFr
     return df.select("*", (explode_if(hits, lambda h: F.size(h) > 0) if matched_only else hits).alias(column))
 
 
-def match_events(events: DataFrame, dictionary: Dictionary, cap: int = T.KEYWORD_CAP,
-                 body_chars: int | None = T.BODY_CHARS, matched_only: bool = False) -> DataFrame:
-    """Adds ``keywords``: what an event mentions, each once, capped across its messages.
+def match_events(events: DataFrame, dictionary: Dictionary, cap: int | None = None,
+                 body_chars: int | None = None, matched_only: bool = False) -> DataFrame:
+    """Adds ``keywords``: what an event mentions, each once; with a cap across its messages.
 
     Rows stay in place; no shuffle.
     """
@@ -76,7 +76,7 @@ def match_any(df: DataFrame, text: str, dictionary: Dictionary, column: str = "t
     return _add(df, column, T.any_hits(F.col(text), dictionary), matched_only)
 
 
-def match_repo(df: DataFrame, repo: str, dictionary: Dictionary, fallback: int = T.REPO_FALLBACK_KEYWORDS,
+def match_repo(df: DataFrame, repo: str, dictionary: Dictionary, fallback: int | None = None,
                column: str = "technologies", matched_only: bool = False) -> DataFrame:
     """Adds the keywords of a repository name."""
     return _add(df, column, T.repo_hits(F.col(repo), dictionary, fallback), matched_only)

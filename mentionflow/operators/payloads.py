@@ -7,20 +7,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..schemas import BRONZE_PAYLOAD, conform
 from .ranking import add_row_numbers
 
-# --- Fixed values: stored error length, threads looked at, thread title ---
+# --- Fixed values: error length of a report, threads looked at, thread title ---
 ERROR_CHARS = 500
 RECENT_SUBMISSIONS = 18
 HIRING_TITLE = "who is hiring"
 # --- end of fixed values ---
 
 
-def split_responses(df: DataFrame, status: str = "status_code", body: str = "body") -> DataFrame:
-    """Adds response_data (a good, parseable body) and error_text (the reason otherwise)."""
+def split_responses(df: DataFrame, status: str = "status_code", body: str = "body",
+                    error_chars: int | None = None) -> DataFrame:
+    """Adds response_data (a good, parseable body) and error_text (the reason otherwise).
+
+    A failed body is kept whole; ``error_chars`` (ERROR_CHARS in a report) cuts it.
+    """
+    failed = F.col(body) if error_chars is None else F.substring(body, 1, error_chars)
     good = F.col(status) == 200
     parses = F.try_parse_json(F.col(body)).isNotNull()
-    error = (F.when(F.col(status).isNull(), F.substring(body, 1, ERROR_CHARS))
+    error = (F.when(F.col(status).isNull(), failed)
              .when(good & ~parses, F.lit("Invalid JSON response"))
-             .when(~good, F.substring(body, 1, ERROR_CHARS)))
+             .when(~good, failed))
     return (df.withColumn("response_data", F.when(good & parses, F.col(body)))
             .withColumn("error_text", error))
 

@@ -2,7 +2,7 @@
 
 Numbers are split into value ranges that follow their order. Each range is ranked on its
 own, then shifted by what the ranges before it hold. A range is the number's bit length
-plus its eight leading bits, so there are at most 16,384 of them per group and the table
+plus its eight leading bits and its sign, so there are at most 32,768 of them per group and the table
 of shifts stays small whatever the data size.
 """
 
@@ -14,11 +14,16 @@ _RANGE = "_range"
 
 
 def value_range(number: Column) -> Column:
-    """Range of a non-negative whole number; larger numbers never get a smaller range."""
+    """Range of a whole number; larger numbers never get a smaller range.
+
+    The range of a negative number is the mirror image of its complement's.
+    """
     number = number.cast("long")
-    bits = F.length(F.bin(number))
-    lead = F.call_function("shiftright", number, F.greatest(bits - 9, F.lit(0)))
-    return (bits * 256 + F.pmod(lead, F.lit(256))).cast("int")
+    size = F.when(number < 0, F.bitwise_not(number)).otherwise(number)
+    bits = F.length(F.bin(size))
+    lead = F.call_function("shiftright", size, F.greatest(bits - 9, F.lit(0)))
+    place = bits * 256 + F.pmod(lead, F.lit(256))
+    return F.when(number < 0, -1 - place).otherwise(place).cast("int")
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import BODY_CHARS, KEYWORD_CAP, capped_hits, event_messages
+from ..functions.text import capped_hits, event_messages
 from ..operators.matching import relevant_events
 from ..operators.rollups import hourly_keyword_rollup
 from ..schemas import BRONZE, conform
@@ -12,8 +12,8 @@ from ..sources.dictionary import Dictionary
 from ..sources.events import with_provenance
 
 
-def event_matches(events: DataFrame, dictionary: Dictionary, cap: int = KEYWORD_CAP,
-                  body_chars: int | None = BODY_CHARS) -> DataFrame:
+def event_matches(events: DataFrame, dictionary: Dictionary, cap: int | None = None,
+                  body_chars: int | None = None) -> DataFrame:
     """One row per event and keyword: date, hour, keyword, repo, type, event_seq.
 
     ``events`` are nested events with date and hour. The sequence number is the numeric
@@ -28,7 +28,7 @@ def event_matches(events: DataFrame, dictionary: Dictionary, cap: int = KEYWORD_
 
 
 def build_bronze(events: DataFrame, dictionary: Dictionary, processing_time: Column | None = None,
-                 cap: int = KEYWORD_CAP, body_chars: int | None = BODY_CHARS) -> DataFrame:
+                 cap: int | None = None, body_chars: int | None = None) -> DataFrame:
     """Hourly facts of all dates in the input.
 
     Matching is map-side. The first shuffle moves one row per (date, hour, keyword,

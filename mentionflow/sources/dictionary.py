@@ -14,7 +14,7 @@ from ..functions.rules import CATEGORY_HIERARCHY
 DEFAULT_PATH = str(Path(__file__).parent.parent / "resources" / "tech_keywords.json")
 
 # A dictionary up to this size travels inside expressions and broadcasts (well under
-# 1 MB). A larger one goes through operators.matching.match_words_join instead.
+# 1 MB). A larger one goes through operators.large_dictionary instead.
 MAX_ENTRIES = 10_000
 
 # --- Fixed values: keywords used when no dictionary can be read ---
@@ -40,7 +40,7 @@ class Dictionary:
 
     def __post_init__(self):
         if len(self.entries) > MAX_ENTRIES:
-            raise ValueError(f"dictionary has more than {MAX_ENTRIES} entries; use match_words_join")
+            raise ValueError(f"dictionary has more than {MAX_ENTRIES} entries; use the join forms of operators.large_dictionary")
 
     @classmethod
     def of(cls, entries, min_chars: int = 1) -> "Dictionary":
@@ -54,9 +54,14 @@ class Dictionary:
 
     @classmethod
     def from_frame(cls, df: DataFrame, min_chars: int = 1) -> "Dictionary":
-        """From (keyword, raw_type, ordinal) rows; never pulls more than the bound."""
-        rows = df.orderBy("ordinal").select("keyword", "raw_type").limit(MAX_ENTRIES + 1).collect()
-        return cls.of([(r.keyword, r.raw_type) for r in rows], min_chars)
+        """From (keyword, raw_type, ordinal) rows, cleaned and counted in Spark first.
+
+        More than the bound is an error, never a shorter dictionary: use the join forms.
+        """
+        cleaned = clean_keywords(df, min_chars)
+        if (found := cleaned.count()) > MAX_ENTRIES:
+            raise ValueError(f"dictionary has {found} entries, more than {MAX_ENTRIES}; use the join forms of operators.large_dictionary")
+        return cls.of([(r.keyword, r.raw_type) for r in cleaned.orderBy("ordinal").collect()], min_chars)
 
     def keywords(self) -> list[str]:
         return [k for k, _ in self.entries]

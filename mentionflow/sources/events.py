@@ -65,15 +65,12 @@ def to_enriched_json(df: DataFrame, event_columns: list[str], keywords: str = "t
                      filter_timestamp: Column | None = None, stored_chars: int | None = None) -> DataFrame:
     """One JSON document per event: the event plus keywords and searchable text.
 
-    ``stored_chars`` is how much of the searchable text the document keeps (matching has
-    already used all of it).
+    ``stored_chars`` limits the searchable text that the document keeps.
     """
-    from ..functions.text import STORED_TEXT_CHARS
-
-    chars = STORED_TEXT_CHARS if stored_chars is None else stored_chars
+    text = F.col("searchable_text")
     clock = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return df.select(F.to_json(F.struct(
         *event_columns, F.col(keywords).alias("extracted_keywords"),
-        F.substring("searchable_text", 1, chars).alias("searchable_text"),
+        (text if stored_chars is None else F.substring(text, 1, stored_chars)).alias("searchable_text"),
         (clock if filter_timestamp is None else filter_timestamp).alias("filter_timestamp"),
         F.lit("2.0_enhanced").alias("producer_version"))).alias("value"))

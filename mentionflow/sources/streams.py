@@ -10,18 +10,21 @@ TOPIC = "github-events-raw"
 KAFKA_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "100"}
 # --- end of fixed values ---
 
+#: Without other options nothing is skipped, and lost data is an error.
+SAFE_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
+
 
 def read_event_stream(spark: SparkSession, fmt: str, location: str, schema: StructType | None = None,
                       options: dict[str, str] | None = None) -> DataFrame:
     """Unbounded frame with a string column ``value`` (Kafka, text) or typed columns (files).
 
-    For Kafka ``location`` is the broker list; offsets, loss tolerance and the rate limit
-    have the live-dashboard defaults and can be overridden. For files it is a folder or
+    For Kafka ``location`` is the broker list; all of the topic is read unless ``options``
+    say otherwise (KAFKA_OPTIONS are those of the live dashboard). For files it is a folder or
     glob, and ``maxFilesPerTrigger`` is the rate limit.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
-        settings = {"subscribe": TOPIC, **KAFKA_OPTIONS, **(options or {})}
+        settings = {"subscribe": TOPIC, **SAFE_OPTIONS, **(options or {})}
         return (reader.options(**settings).option("kafka.bootstrap.servers", location).load()
                 .selectExpr("CAST(value AS STRING) AS value"))
     if schema is not None:

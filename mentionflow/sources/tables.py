@@ -87,8 +87,11 @@ def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[dict],
     """Remove whole partition folders, given as {column: value}."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    coded = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     for values in partitions:
-        folder = hadoop.Path("/".join([path.rstrip("/"), *(f"{c}={values[c]}" for c in partition_by)]))
+        # folder names as Spark writes them: special characters coded, NULL and empty by a name of their own
+        names = [coded.getPartitionPathString(c, None if values[c] is None else str(values[c])) for c in partition_by]
+        folder = hadoop.Path("/".join([path.rstrip("/"), *names]))
         folder.getFileSystem(conf).delete(folder, True)
 
 
@@ -108,8 +111,10 @@ def delete_where(spark: SparkSession, path: str, schema: StructType, predicate:
     touched = [r for r in found if r["removed"]]
     if any(r["kept"] for r in touched):
         keys = spark.createDataFrame([tuple(r[c] for c in partition_by) for r in touched],
-                                     StructType([schema[c] for c in partition_by]))
-        kept = table.join(F.broadcast(keys), partition_by, "left_semi").where(~doomed)
+                                     _nullable(StructType([schema[c] for c in partition_by])))
+        keys = keys.select(*[F.col(c).alias(f"_key_{c}") for c in partition_by])
+        same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in partition_by]
+        kept = table.join(keys, same, "left_semi").where(~doomed)
         staged = scratch_path(spark, "delete")
         kept.write.parquet(staged)
         replace_partitions(spark.read.schema(_nullable(schema)).parquet(staged), path, partition_by)

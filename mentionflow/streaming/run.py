@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +15,7 @@ from ..schemas import BRONZE_STREAM, STREAM_READY_COLUMNS
 from ..session import scratch_path
 from ..sources import tables
 from ..sources.dictionary import Dictionary
+from ..sources.streams import SAFE_OPTIONS
 from .events import enrich_stream, event_stream
 from .sink import write_batch
 
@@ -21,7 +23,6 @@ from .sink import write_batch
 TRIGGER = "3 seconds"
 RUN_MINUTES = 60
 KEEP_HOURS = 1
-LIVE_FILES = 1  # a live batch holds at most as many events as the source's rate limit
 STREAM_PARTITIONS = ["run", "batch_id", "date", "hour"]
 # --- end of fixed values ---
 
@@ -36,13 +37,14 @@ def checkpoint_path(spark: SparkSession, name: str, root: str | None = None, fre
 
 def start(df: DataFrame, name: str, checkpoint: str, each_batch: Callable | None = None,
           path: str | None = None, fmt: str = "parquet", mode: str = "append",
-          trigger: str | None = TRIGGER) -> StreamingQuery:
-    """Start a query; ``trigger=None`` takes what is available and ends."""
+          trigger: str | None = TRIGGER, options: dict[str, str] | None = None) -> StreamingQuery:
+    """Start a query; ``trigger=None`` takes what is available and ends. ``options`` are those of the sink."""
     writer = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     if each_batch:
         return writer.foreachBatch(each_batch).start()
-    return writer.format(fmt).option("path", path).start()
+    writer = writer.format(fmt).options(**(options or {}))
+    return (writer if path is None else writer.option("path", path)).start()
 
 
 def run_stream(query: StreamingQuery, minutes: float | None = RUN_MINUTES) -> bool:
@@ -73,30 +75,41 @@ def clean_stream_table(spark: SparkSession, path: str, hours: int = KEEP_HOURS,
 
 
 def run_streaming(spark: SparkSession, source: DataFrame, dictionary: Dictionary, root: str,
-                  trigger: str | None = TRIGGER, minutes: float | None = RUN_MINUTES,
-                  fresh: bool = True) -> str:
+                  trigger: str | None = TRIGGER, minutes: float | None = None, fresh: bool = False,
+                  keep_hours: int | None = None, topic: tuple[str, dict[str, str]] | None = None) -> str:
     """Producer and consumer in a row: enrich events, then count them into the stream table.
 
-    The enriched events land under ``root`` (the topic's stand-in when no broker is
-    used); the second query reads them from there. Returns the stream table's path.
+    A second run on the same root resumes: each event is counted once over all runs.
+    ``fresh`` starts over with a topic and checkpoints of its own and leaves the counts of
+    earlier runs alone. The enriched events land in text files under ``root``, or in
+    ``topic``, a (format, options) pair such as ``("kafka", {"kafka.bootstrap.servers": …,
+    "topic": …, "subscribe": …})``. ``minutes`` bounds a live run (RUN_MINUTES on the
+    dashboard); ``keep_hours`` drops older rows of the table first (KEEP_HOURS there). An
+    error of either query is raised. Returns the stream table's path.
     """
-    topic = f"{root.rstrip('/')}/topic"
+    root = root.rstrip("/")
+    home = f"{root}/runs/{uuid.uuid4().hex}" if fresh else root
     table = tables.table_path(root, "bronze", "streaming_keyword_extractions")
     tables.create_if_absent(spark, table, BRONZE_STREAM, ["date", "hour"])
-    clean_stream_table(spark, table)
-    spark.createDataFrame([], "value string").write.mode("append").text(topic)
-    producer = start(enrich_stream(source, dictionary), "enrich", checkpoint_path(spark, "enrich", root, fresh),
-                     path=topic, fmt="text", trigger=trigger)
+    if keep_hours is not None:
+        clean_stream_table(spark, table, keep_hours)
+    fmt, options = topic or ("text", {"path": f"{home}/topic"})
+    if topic is None:
+        spark.createDataFrame([], "value string").write.mode("append").text(options["path"])
+    producer = start(enrich_stream(source, dictionary), "enrich", checkpoint_path(spark, "enrich", home),
+                     fmt=fmt, trigger=trigger, options=options)
     if trigger is None:
         run_stream(producer, None)
-    landed = spark.readStream.format("text").load(topic)
-    checkpoint = checkpoint_path(spark, "count", root, fresh)
-    consumer = start(event_stream(landed, dictionary), "count", checkpoint, trigger=trigger,
-                     each_batch=write_batch(table, run=checkpoint.rsplit("/", 1)[-1],
-                                            files=LIVE_FILES if trigger else None))
+    landed = spark.readStream.format(fmt).options(**SAFE_OPTIONS if fmt == "kafka" else {}).options(**options).load()
+    consumer = start(event_stream(landed.select(F.col("value").cast("string").alias("value")), dictionary), "count",
+                     checkpoint_path(spark, "count", home), trigger=trigger,
+                     each_batch=write_batch(table, run=home.rsplit("/", 1)[-1] if fresh else "resumed"))
     try:
         run_stream(consumer, minutes if trigger else None)
     finally:
+        failure = producer.exception()
         if producer.isActive:
             producer.stop()
+    if failure is not None:
+        raise failure
     return table

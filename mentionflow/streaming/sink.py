@@ -29,21 +29,19 @@ def batch_rows(batch: DataFrame, epoch: int, now: Column | None = None) -> DataF
     return conform(rows, BRONZE_STREAM)
 
 
-def write_batch(path: str, run: str = "default", now: Column | None = None, files: int | None = None):
+def write_batch(path: str, run: str = "default", now: Column | None = None):
     """A foreachBatch function that stores each batch in a folder of its own.
 
     A replayed batch overwrites its folder, whatever hour it is by then, so the table
     counts it once. ``run`` names the checkpoint the batch numbers belong to: a fresh
     checkpoint starts again at 0 and must not overwrite an earlier run. The batch is
     read once; an empty one adds no rows. Hours are folders, minutes are a column, and
-    retention removes old folders, so the table stays at about an hour of batches.
-    ``files`` gathers the rows of a rate-limited batch in a few files; a backlog is
-    written in parallel without it.
+    retention removes old folders.
+    A small batch is gathered in one file of an hour, a backlog is written in parallel:
+    the rebalance lets AQE choose by size.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = batch_rows(batch, epoch, now).drop("batch_id")
-        if files:
-            rows = rows.coalesce(files)
+        rows = batch_rows(batch, epoch, now).drop("batch_id").hint("rebalance", "date", "hour")
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("date", "hour").parquet(f"{path}/run={run}/batch_id=batch_{epoch}"))
 

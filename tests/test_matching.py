@@ -100,7 +100,7 @@ def twelve():
 
 def capped(spark, messages):
     df = spark.createDataFrame([(messages,)], "m array<string>")
-    return df.select(T.capped_hits(F.col("m"), twelve())).first()[0]
+    return df.select(T.capped_hits(F.col("m"), twelve(), T.KEYWORD_CAP)).first()[0]
 
 
 def test_cap_counts_the_message_that_passes_it(spark):
@@ -166,10 +166,10 @@ def test_bronze_from_events(spark):
     assert {r["source_file"] for r in got.values()} == {"2024-01-01-batch.json.gz"}
 
 
-def test_body_after_the_limit_counts_only_when_asked(spark):
+def test_body_after_the_limit_counts_unless_limited(spark):
     rows = [("1", "PullRequestEvent", "a/b", payload(title="t", body="x" * 500 + " rust"))]
-    assert build_bronze(event(spark, rows), words("rust")).count() == 0
-    assert build_bronze(event(spark, rows), words("rust"), body_chars=None).count() == 1
+    assert build_bronze(event(spark, rows), words("rust"), body_chars=T.BODY_CHARS).count() == 0
+    assert build_bronze(event(spark, rows), words("rust")).count() == 1
 
 
 def test_one_repository_with_most_rows(spark):
@@ -181,9 +181,9 @@ def test_one_repository_with_most_rows(spark):
 
 def test_searchable_text_limits(spark):
     df = event(spark, [("1", "PushEvent", "Own/Repo", payload(["A" * 300, "", "b", "c", "d"]))])
-    text = M.searchable(df).first()["searchable_text"]
+    text = M.searchable(df, **T.LIVE_LIMITS).first()["searchable_text"]
     assert text == " ".join(["own/repo", "repo", "pushevent", "a" * 200, "b"])
-    whole = M.searchable(df, commits=None, commit_chars=None).first()["searchable_text"]
+    whole = M.searchable(df).first()["searchable_text"]
     assert whole.endswith("a" * 300 + " b c d")
 
 

@@ -29,8 +29,10 @@ def test_sample_has_rows(spark, sf_dir):
     assert 0 < drawn < total
 
 
-def test_only_the_sampler_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"o5_sample"}
+def test_every_query_of_the_library_itself_has_sql():
+    from mentionflow import checks
+
+    assert set(checks.queries()) == set(checks.oracle_sql())
 
 
 def test_entry(spark):

@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from mentionflow.schemas import BRONZE_STREAM
@@ -45,8 +46,8 @@ def test_batches_append_and_runs_do_not_collide(spark, tmp_path):
     run(checkpoint, "one")
     assert stored(spark, path).agg(F.sum("mentions")).first()[0] == 4
     assert {r[0] for r in stored(spark, path).select("batch_id").collect()} == {"batch_0", "batch_1"}
-    run(S.checkpoint_path(spark, "again", str(tmp_path), fresh=True), "two")
-    assert stored(spark, path).agg(F.sum("mentions")).first()[0] == 8
+    run(checkpoint, "one")
+    assert stored(spark, path).agg(F.sum("mentions")).first()[0] == 4
     assert S.stream_table_ready(stored(spark, path))
 
 
@@ -105,6 +106,26 @@ def test_producer_and_consumer_together(spark, tmp_path):
     assert [(r["keyword"], r["mentions"]) for r in stored(spark, table).collect()] == [("python", 1)]
 
 
+def test_a_second_run_resumes(spark, tmp_path):
+    counts = lambda: {(r["keyword"], r["mentions"]) for r in stored(spark, table).groupBy("keyword").agg(F.sum("mentions").alias("mentions")).collect()}
+    raw = read_event_stream(spark, "text", str(tmp_path / "in"), options={})
+    for name, repo in (("a.txt", "x/python"), ("b.txt", "y/go"), ("c.txt", "z/python")):
+        land(tmp_path / "in", name, lines(repo))
+        table = S.run_streaming(spark, raw, DICTIONARY, str(tmp_path / "root"), trigger=None)
+    assert counts() == {("python", 2), ("go", 1)}
+    S.run_streaming(spark, raw, DICTIONARY, str(tmp_path / "root"), trigger=None, fresh=True)
+    assert counts() == {("python", 4), ("go", 2)}  # a fresh start reads its source from the beginning, and only its own topic
+    S.run_streaming(spark, raw, DICTIONARY, str(tmp_path / "root"), trigger=None)
+    assert counts() == {("python", 4), ("go", 2)}
+
+
+def test_producer_errors_are_raised(spark, tmp_path):
+    land(tmp_path / "in", "a.txt", lines("x/python"))
+    broken = read_event_stream(spark, "text", str(tmp_path / "in")).withColumn("value", F.raise_error(F.lit("no such event")).cast("string"))
+    with pytest.raises(Exception, match="no such event"):
+        S.run_streaming(spark, broken, DICTIONARY, str(tmp_path / "root"), trigger="1 second", minutes=20 / 60)
+
+
 def test_late_events_and_duplicates(spark, tmp_path):
     base = datetime(2024, 1, 1, 12)
     schema = "event_id string, event_timestamp timestamp, keyword string"
