@@ -208,3 +208,39 @@ def test_dictionary_cleaning(spark, tmp_path):
     path = tmp_path / "d.json"
     path.write_text('{" Go ": {"type": "language"}, "r": {"type": "language"}, "GO": {"type": "tool"}, "x1": {}}')
     assert load_dictionary(spark, str(path), min_chars=2).entries == (("go", "language"), ("x1", "development_tool"))
+
+
+LARGE = [("python", "language"), ("c++", "language"), ("of the", "tool"), ("next.js", "web_framework"), ("++", "tool"), ("ation", "tool"), ("go", "language"), ("a\\Eb", "tool"), ("src", "tool")]
+
+
+@pytest.mark.parametrize("extra", [0, 20_000])
+def test_join_forms_agree_with_expressions(spark, extra):
+    """A dictionary of any size gives the same matches; 20,000 more entries give theirs."""
+    from mentionflow.operators import large_dictionary as L
+    from mentionflow.sources.dictionary import clean_keywords
+
+    rows = [(1, "Python, of the nation c++x ++ go-go", "own/python-src"), (2, "next.js a\\Eb! x++y", "x/nation_y"), (3, "", ""), (4, None, None), (5, "k7 k19999 zzk5zz", "k3/k4")]
+    df = spark.createDataFrame(rows, "n long, text string, repo string")
+    entries = LARGE + [(f"k{i}", "orm") for i in range(extra)]
+    frame = clean_keywords(spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(entries)], "keyword string, raw_type string, ordinal int"), 1)
+    got = lambda d: sorted((r.n, r.keyword) for r in d.collect())
+    small = Dictionary.of(LARGE)
+    mine = {"words": got(L.match_words(df, "text", frame, ["n"])), "phrases": got(L.match_phrases(df, "text", frame, ["n"])),
+            "any": got(L.match_any(df, "text", frame, ["n"])), "repo": got(L.match_repo(df, "repo", frame, ["n"]))}
+    if not extra:
+        exploded = lambda d, c: sorted((r.n, k) for r in d.collect() for k in (r[c] or []))
+        assert mine["words"] == got(M.match_words(df, "text", small, ["n"]))
+        assert mine["phrases"] == got(M.match_phrases(df, "text", small, ["n"]))
+        assert mine["any"] == exploded(M.match_any(df, "text", small), "technologies")
+        assert mine["repo"] == exploded(M.match_repo(df, "repo", small), "technologies")
+    else:
+        assert [k for n, k in mine["words"] if n == 5] == ["k19999", "k7"] and (5, "k3") in mine["repo"]
+        with pytest.raises(ValueError, match="20009 entries"):
+            Dictionary.from_frame(frame)
+    messages = df.select("n", F.array(F.lower("text"), F.lit("go python")).alias("m")).where("text IS NOT NULL")
+    assert got(L.match_messages(messages, "m", frame, ["n"])) >= [(1, "++")]
+    capped = L.match_messages(messages, "m", frame, ["n"], cap=0)
+    assert {r.keyword for r in capped.where("n = 3").collect()} == {"go", "python"} and capped.where("n = 1 AND keyword = 'python'").count() == 1
+    tech = spark.createDataFrame([("Python",), ("k7",), ("django",), (None,)], "technology string")
+    found = {r.technology: r.technology_category for r in L.categorize(tech, frame).collect()}
+    assert found["Python"] == "language" and found["k7"] == ("library" if extra else "development_tool") and found["django"] == "language"
