@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import dates as D, rules as R
 from ..operators import ranking, rollups
@@ -12,7 +14,7 @@ from ..plans.gold import categorize
 from ..plans.silver import build_silver
 from ..plans.trends import window_bounds
 from ..operators.rollups import latest
-from ..schemas import GOLD
+from ..schemas import GOLD, trend_schema
 from ..session import scratch_path
 from ..sources.tables import read_table
 from . import inputs as I
@@ -246,15 +248,34 @@ for _t in ("7d", "30d", "90d", "alltime"):
     _trend_check(_t)
 
 
-@check("g9_daily_run", f"WITH {I.GOLD_SQL} SELECT * FROM gold")
-def g9(spark, sf):
-    """The whole batch over stored tables, run twice; Gold is read back."""
+def _daily(spark, sf):
+    """The whole batch over stored tables, run twice."""
     root = scratch_path(spark, "daily")
     layout = daily.Layout(root)
     daily.write_bronze(I.bronze(spark, sf), layout)
     for _ in range(2):
-        daily.run_daily(spark, root, I.EVENT_DICTIONARY)
-    return read_table(spark, layout.gold, GOLD).drop("processed_at", "data_source")
+        report = daily.run_daily(spark, root, I.EVENT_DICTIONARY)
+    return layout, report
+
+
+@check("g9_daily_run", f"WITH {I.GOLD_SQL} SELECT * FROM gold")
+def g9(spark, sf):
+    return read_table(spark, _daily(spark, sf)[0].gold, GOLD).drop("processed_at", "data_source")
+
+
+_G9_TRENDS = "UNION ALL ".join(
+    f"""SELECT '{t}' AS timeframe, technology, total_mentions_{t} AS total_mentions, mention_rank_{t} AS mention_rank, category_rank_{t} AS category_rank
+FROM (WITH {I.GOLD_SQL}, {I.trends_sql('gold', t)} SELECT * FROM trends) """ for t in ("7d", "30d", "90d", "alltime"))
+
+
+@check("g9_daily_run_trends", _G9_TRENDS)
+def g9_trends(spark, sf):
+    """The four trend tables that the batch leaves behind."""
+    layout, _ = _daily(spark, sf)
+    names = ("total_mentions", "mention_rank", "category_rank")
+    parts = [read_table(spark, layout.trends(t), trend_schema(t)).select(
+        F.lit(t).alias("timeframe"), "technology", *[F.col(f"{n}_{t}").alias(n) for n in names]) for t in ("7d", "30d", "90d", "alltime")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- classification rules ---

@@ -1 +1 @@
-"""Layer builds: each is one lazy plan over all dates."""
+"""Layer builds, status, reports and the daily run, made of the operators."""

@@ -17,7 +17,7 @@ from ..sources import tables
 from ..sources.dictionary import Dictionary
 from .gold import build_gold
 from .silver import build_silver
-from .status import layer_status, pending
+from .status import assess, layer_status, pending
 from .trends import build_trends
 
 # --- Fixed values: table names, thresholds ---
@@ -77,17 +77,20 @@ def _dates(df: DataFrame, dates: list[str]) -> DataFrame:
     return df.where(F.col("date").isin(dates))
 
 
-def run_silver(spark: SparkSession, layout: Layout, dates: list[str]) -> dict:
-    """Rebuild the given dates of Silver from the Bronze dates with enough records."""
+def run_silver(spark: SparkSession, layout: Layout, dates: list[str], minimum: int = MIN_BRONZE_RECORDS) -> dict:
+    """Rebuild the given dates of Silver from the Bronze dates with at least ``minimum`` records.
+
+    Dates with fewer are named in ``dates_skipped``.
+    """
     if not dates:
         return {"status": "skipped", "reason": "no_silver_dates"}
     bronze = _dates(tables.read_table(spark, layout.bronze, BRONZE), dates)
-    usable = [r["date"] for r in valid_dates(bronze, MIN_BRONZE_RECORDS).select("date").collect()]
+    usable = [r["date"] for r in valid_dates(bronze, minimum).select("date").collect()]
     if not usable:
-        return {"status": "failed", "error": "0 dates have valid Bronze data"}
+        return {"status": "failed", "error": "0 dates have valid Bronze data", "dates_skipped": sorted(dates)}
     written = publish(build_silver(_dates(bronze, usable)), layout.silver, SILVER, ["date"], "Silver")
     count, mentions = written.agg(F.count("*"), F.sum("daily_mentions")).first()
-    return {"status": "success", "dates_processed": sorted(usable), "total_technologies": count,
+    return {"status": "success", "dates_processed": sorted(usable), "dates_skipped": sorted(set(dates) - set(usable)), "total_technologies": count,
             "total_mentions": mentions}
 
 
@@ -138,18 +141,19 @@ def _start(date: str, days: int) -> str:
 def run_daily(spark: SparkSession, root: str, dictionary: Dictionary, date: str | None = None) -> dict:
     """Bring Silver, Gold and the trend tables up to date with Bronze.
 
-    A given date is reprocessed in every layer; otherwise each layer fills its gaps.
-    The driver handles dates and statuses only.
+    The assessment decides the strategy and the dates of each layer: a given date is
+    reprocessed in every layer, otherwise each layer fills its gaps, and Gold looks again
+    after Silver. The driver handles dates and statuses only.
     """
     layout = Layout(root)
     create_tables(spark, layout)
     bronze = tables.read_table(spark, layout.bronze, BRONZE)
-    wanted = [date] if date else pending(bronze, tables.read_table(spark, layout.silver, SILVER))
-    silver = run_silver(spark, layout, wanted)
-    gold = run_gold(spark, layout, dictionary, [date] if date else None)
+    plan = assess(bronze, tables.read_table(spark, layout.silver, SILVER), tables.read_table(spark, layout.gold, GOLD), date).first()
+    silver = run_silver(spark, layout, list(plan.silver_dates))
+    gold = run_gold(spark, layout, dictionary, list(plan.gold_dates) if date else None)
     trends = run_trends(spark, layout)
     status = layer_status({
         "bronze": bronze, "silver": tables.read_table(spark, layout.silver, SILVER),
         "gold": tables.read_table(spark, layout.gold, GOLD)})
-    return {"silver": silver, "gold": gold, "trends": trends,
+    return {"strategy": plan.strategy, "silver": silver, "gold": gold, "trends": trends,
             "layers": [r.asDict() for r in status.collect()]}

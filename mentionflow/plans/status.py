@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.gaps import dates_of, missing_dates
+from ..operators.gaps import missing_dates
 
 # --- Fixed values: strategy names ---
 MANUAL = "manual_full_pipeline"
@@ -77,7 +77,3 @@ def layer_status(layers: dict[str, DataFrame]) -> DataFrame:
 def pending(source: DataFrame, target: DataFrame) -> list[str]:
     """Missing dates as a sorted Python list: one short string per calendar day."""
     return [r["date"] for r in missing_dates(source, target).orderBy("date").collect()]
-
-
-def available(df: DataFrame) -> list[str]:
-    return [r["date"] for r in dates_of(df).orderBy("date").collect()]

@@ -36,8 +36,9 @@ def trend_rows(gold: DataFrame, analysis_date: str, timeframe: str) -> DataFrame
     inside = gold.where(D.in_window(F.col("date"), F.lit(analysis_date), TIMEFRAMES[timeframe]))
     frame = window_bounds(gold, analysis_date, timeframe)
     if TIMEFRAMES[timeframe] is None:
-        # one-row scalar subqueries
-        bounds = [frame.select(c).scalar().alias(c) for c in ("start_date", "end_date", "days")]
+        # one scalar subquery, so that Gold is read once more and not once for each bound
+        found = frame.select(F.struct("start_date", "end_date", "days")).scalar()
+        bounds = [found.getField(c).alias(c) for c in ("start_date", "end_date", "days")]
     else:
         days = TIMEFRAMES[timeframe]
         last = F.lit(analysis_date)

@@ -144,6 +144,7 @@ def test_daily_run(spark, built):
     assert [(r["layer"], r["missing_dates"], r["complete"]) for r in report["layers"]] == [
         ("bronze", 0, True), ("silver", 0, True), ("gold", 0, True)]
     assert report["layers"][1]["dates"] == 30
+    assert report["strategy"] == "single_run_complete_pipeline" and report["silver"]["dates_skipped"] == []
     for timeframe in TIMEFRAMES:
         assert T.read_table(spark, layout.trends(timeframe), trend_schema(timeframe)).count() > 0
 
@@ -160,7 +161,7 @@ def test_daily_rerun_changes_nothing(spark, built):
     before = content()
     again = daily.run_daily(spark, root, I.EVENT_DICTIONARY)
     assert again["silver"]["status"] == "skipped" and again["gold"]["status"] == "skipped"
-    assert again["trends"]["status"] == "success"
+    assert again["trends"]["status"] == "success" and again["strategy"] == "single_run_analytics_only"
     assert content() == before
     manual = daily.run_daily(spark, root, I.EVENT_DICTIONARY, date="2024-01-10")
     assert manual["silver"]["dates_processed"] == ["2024-01-10"]
