@@ -108,7 +108,8 @@ def test_producer_and_consumer_together(spark, tmp_path):
 
 def test_a_second_run_resumes(spark, tmp_path):
     counts = lambda: {(r["keyword"], r["mentions"]) for r in stored(spark, table).groupBy("keyword").agg(F.sum("mentions").alias("mentions")).collect()}
-    raw = read_event_stream(spark, "text", str(tmp_path / "in"), options={})
+    (tmp_path / "in").mkdir()
+    raw = read_event_stream(spark, "text", str(tmp_path / "in"))
     for name, repo in (("a.txt", "x/python"), ("b.txt", "y/go"), ("c.txt", "z/python")):
         land(tmp_path / "in", name, lines(repo))
         table = S.run_streaming(spark, raw, DICTIONARY, str(tmp_path / "root"), trigger=None)

@@ -108,26 +108,10 @@ def test_hourly_files_and_names(spark, tmp_path):
     assert [r["name"] for r in read_name_list(spark, str(tmp_path / "names.json")).orderBy("ordinal").collect()] == ["b", "a"]
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
-    assert scratch_path(spark, "x") != scratch_path(spark, "x")
-
-    class Cluster:
-        class conf:
-            get = staticmethod(lambda key, default: default)
-
-        class sparkContext:
-            master = "spark://somewhere:7077"
-
-    with pytest.raises(ValueError):
-        scratch_path(Cluster, "x")
-
-
-def test_scratch_follows_the_session(spark):
-    class Cluster:
-        class conf:
-            get = staticmethod(lambda key, default: "hdfs:///shared/")
-
-    assert scratch_path(Cluster, "x").startswith("hdfs:///shared/x-")
+def test_scratch_lies_in_the_folder_of_the_session(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    first = scratch_path(spark, "x")
+    assert first.startswith(f"{folder}/x-") and first != scratch_path(spark, "x")
 
 
 @pytest.fixture(scope="module")
