@@ -130,8 +130,8 @@ def test_repository_names(spark, repo, expected):
 def test_repository_fallback_looks_at_the_longest_only(spark):
     dictionary = words(*[f"longkeyword{i:02d}" for i in range(20)], "abc")
     df = spark.createDataFrame([("x/zabcz",)], "r string")
-    assert df.select(T.repo_hits(F.col("r"), dictionary)).first()[0] == []
-    assert df.select(T.repo_hits(F.col("r"), dictionary, 21)).first()[0] == ["abc"]
+    assert df.select(T.repo_hits(F.col("r"), dictionary, T.REPO_FALLBACK_KEYWORDS)).first()[0] == []
+    assert df.select(T.repo_hits(F.col("r"), dictionary)).first()[0] == ["abc"]
 
 
 def event(spark, rows):
@@ -157,7 +157,7 @@ def test_bronze_from_events(spark):
         ("5", "PushEvent", "a/first", None),
         ("6", "PushEvent", "a/first", payload()),
     ]
-    got = {r["keyword"]: r for r in build_bronze(event(spark, rows), words("go", "rust")).collect()}
+    got = {r["keyword"]: r for r in build_bronze(event(spark, rows), words("go", "rust"), body_chars=T.BODY_CHARS).collect()}
     assert got["go"]["mentions"] == 2 and got["rust"]["mentions"] == 2
     # both repositories have one mention: the earlier event wins
     assert (got["go"]["top_repo"], got["go"]["repo_mentions"]) == ("b/second", 1)

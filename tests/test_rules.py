@@ -201,7 +201,7 @@ def test_payload_ids_and_json(spark):
 
     got = {r["record_id"]: json.loads(r["raw_response_json"]) for r in payload_rows(df, F.lit("now")).collect()}
     assert sorted(got) == [f"s_2024-01-01_{i:06d}" for i in range(4)]
-    assert got["s_2024-01-01_000000"]["url"] == "u2" and len(got["s_2024-01-01_000000"]["error_text"]) == 500
+    assert got["s_2024-01-01_000000"]["url"] == "u2" and len(got["s_2024-01-01_000000"]["error_text"]) == 600
     assert got["s_2024-01-01_000001"]["response_data"] == {"b": [1, 2]}
     assert got["s_2024-01-01_000002"]["status_code"] is None and got["s_2024-01-01_000002"]["error_text"] == "Request timeout"
     assert got["s_2024-01-01_000003"]["error_text"] == "Invalid JSON response"
