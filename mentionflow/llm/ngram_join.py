@@ -246,7 +246,7 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = rows.where(F.col("class") == F.col("doc_id")).select("doc_id", F.explode("parts").alias("part"))
     tiles = (parts.groupBy("part").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last"))
              .where("a <> last").select(F.col("part").alias("tile"), "a"))
-    tiles = materialize(tiles, "tiles")
+    tiles = bounded(materialize(tiles, "tiles"))
     pairs = (parts.join(tiles, F.col("part") == F.col("tile")).where(F.col("doc_id") != F.col("a"))
              .select("a", F.col("doc_id").alias("b")).distinct())
     pairs = materialize(pairs, "candidate-pairs")
