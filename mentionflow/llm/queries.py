@@ -230,7 +230,7 @@ def held_out():
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Model from the labelled documents that are not held out; a document with both labels counts for each."""
     labels = bounded(labels.where(~held_out()).select("doc_id", "toxic"))
-    return toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"), key="doc_id")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

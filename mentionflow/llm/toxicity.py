@@ -33,7 +33,7 @@ ORDER = 6
 DISCOUNT = 0.75
 #: Bits of the hashes of n-grams and of contexts: bound the tables of ratios.
 KEY_BITS, CONTEXT_BITS = 24, 21
-#: Labelled texts that the logistic fit may use at most; the counts use all others.
+#: Labelled texts that the logistic fit uses at most, in expectation; the counts use all others.
 FIT_ROWS = 20_000
 #: One of so many labelled texts (by the hash of the text) is kept from the counts for the fit.
 FIT_SHARE = 5
@@ -293,18 +293,21 @@ class Model:
         return scored(texts)
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model:
+def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str | None = None) -> Model:
     """Model from labelled texts; rows with a NULL label are left out, a NULL text is empty.
 
-    Without rows of both classes every text gets the same score. Nothing but text and label is read.
+    Without rows of both classes every text gets the same score. Nothing but text and label
+    is learned from; ``key`` only draws the rows of the fit (by their text without it).
     """
     spark = labelled.sparkSession
-    rows = labelled.where(F.col(label).isin(0, 1)).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("toxic"))
+    rows = labelled.where(F.col(label).isin(0, 1)).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("toxic"), F.col(key or text).alias("key"))
     draw = F.pmod(F.xxhash64("text"), F.lit(FIT_SHARE))
     words = materialize(count_words(rows.where(draw != 0)), "toxicity-words")
     by_gram, by_context = ratios(words)
     model = Model(spark, dense(by_gram, "gram", KEY_BITS), dense(by_context, "context", CONTEXT_BITS))
-    sample = rows.where(draw == 0).orderBy(F.xxhash64("text", F.lit(1)), "toxic").limit(FIT_ROWS)
+    apart = rows.where(draw == 0)
+    share = FIT_ROWS / max(FIT_ROWS, apart.count())
+    sample = apart.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000))
     fitted = model.featured(sample, "toxic int").toPandas()
     x = np.array(fitted["features"].tolist(), float).reshape(-1, FEATURES)
     model.fit = fit_logistic(x, fitted["toxic"].to_numpy(float))
