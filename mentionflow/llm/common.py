@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -44,6 +46,13 @@ def unboxed(df: DataFrame, columns: list[str], added: dict[str, Column]) -> Data
     return df.select(*kept, *[value.alias(name) for name, value in added.items()])
 
 
+def pieces(batches: Iterable[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """The rows of Arrow batches, fewer at a time: bounds what a Python worker works on beside its input."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start:start + rows]
+
+
 def bounded(rows: DataFrame) -> DataFrame:
     """Marks rows of a few numbers for broadcast, after counting that they are few."""
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
@@ -62,3 +71,6 @@ def numbered(df: DataFrame, order: list[Column], name: str = "_number") -> DataF
     local = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     return (ranged.withColumn(name, local).join(F.broadcast(shifts), F.col("_part") == F.col("_of"))
             .withColumn(name, F.col(name) + F.col("_shift")).drop("_part", "_of", "_shift"))
+
+
+ship_code(__name__)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .common import bounded, ship_code
+from .common import bounded, pieces, ship_code
 from .graph import components
 
 ship_code(__name__)
@@ -119,7 +119,7 @@ def part_keys(shingles: np.ndarray) -> np.ndarray:
 
 
 def _summaries(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in pieces(batches):
         hashes = WordHashes()
         rows = []
         for text in batch["text"]:
@@ -134,9 +134,9 @@ def point(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in pieces(batches):
         hashes = WordHashes()
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "shingles": [shingle_set(t, hashes).view(np.int64) for t in batch["text"]]})
+        yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "shingles": [shingle_set(t, hashes).view(np.int64) for t in batch["text"]]})
 
 
 def overlap_needed(a, b):

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import boxed, ship_code, unboxed
+from .common import boxed, pieces, ship_code, unboxed
 
 ship_code(__name__)
 
@@ -88,7 +88,7 @@ class Letters:
 
 
 def _word_counts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in pieces(batches):
         counts = [Counter(), Counter()]
         for toxic, text in zip(batch["toxic"], batch["text"]):
             counts[toxic].update(words_of(text))
@@ -276,7 +276,7 @@ class Model:
         tables, names = self.tables, [c.split()[0] for c in keep.split(",")]
 
         def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
+            for batch in pieces(batches):
                 yield batch[names].assign(features=list(features(batch["text"].tolist(), *tables.value)))
 
         return texts.mapInPandas(run, f"{keep}, features array<double>")
