@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import lower_ascii
+from .common import BROADCAST_ROWS, lower_ascii
 
 #: Two ways of cutting: sentences wrapped over lines, and lines that are sentences.
 CUTS = {"wrapped": r"[.!?]+(\s+|$)|\n[ \t\r]*\n", "lines": r"[.!?]+(\s+|$)|\n+"}
@@ -79,7 +79,10 @@ def recognise(docs: DataFrame, rules: list[tuple[str, list[int]]] = RULES, sente
     one id share what their texts have; rows without id have no hits; an empty table gives
     no rows. Other columns are not used.
     """
-    hits = sentence_hits(docs, known_sentences(docs.sparkSession, sentences), doc_id, text)
+    known = known_sentences(docs.sparkSession, sentences)
+    if len(sentences) <= BROADCAST_ROWS:  # Spark does not know how small a local list is
+        known = F.broadcast(known)
+    hits = sentence_hits(docs, known, doc_id, text)
     sequences = hits.groupBy("doc_id", "cut").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "sentence_id"))), lambda h: h.sentence_id).alias("ids"))
     as_text = F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))
     held = F.filter(F.array(*[F.when(F.contains(as_text, F.lit("," + ",".join(map(str, ids)) + ",")), F.lit(name)) for name, ids in rules]),
