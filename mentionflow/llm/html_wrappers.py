@@ -46,6 +46,10 @@ APART_WORDS = set("ad ads adv advert advertisement advertising banner sponsor sp
                   "notice notification alert popup modal sidebar side comment comments reply replies respond discussion disqus menu "
                   "nav navbar navigation breadcrumb breadcrumbs footer header masthead social share sharing related recommended "
                   "newsletter subscribe subscription signup login search pagination pager widget toolbar complementary contentinfo".split())
+#: Words that such a mark may be joined with ("ad-container"); with any other it says something else ("no-sidebar", "related-work").
+PLAIN_WORDS = set("area bar block box button buttons container inner item items link links list outer section wrap wrapper".split())
+#: Headings are never apart by their marks, but by what holds them.
+HEADINGS = {f"h{n}" for n in range(1, 7)}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _MARKS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -176,25 +180,45 @@ def in_article(path: str) -> bool:
     return any(step.partition(".")[0] in ARTICLE for step in path.split("/"))
 
 
-def is_apart(path: str) -> bool:
-    """Whether a path leads through something that is not the article."""
-    inside = False
+def is_marked(name: str, words: list[str]) -> bool:
+    """Whether class, id or role say that an element is none of the article: by a whole name, not by a part of one."""
+    if name in HEADINGS or name in ("html", "body"):
+        return False
+    return any(parts & APART_WORDS and parts <= APART_WORDS | PLAIN_WORDS for parts in (set(re.split(r"[-_:]+", w)) - {""} for w in words))
+
+
+def is_apart(path: str, holders: frozenset[str] = frozenset()) -> bool:
+    """Whether a path leads through something that is not the article; the marks of ``holders`` (paths) do not count."""
+    inside, above = False, []
     for step in path.split("/"):
         name, *words = step.split(".")
         inside = inside or name in ARTICLE
-        parts = {p for w in words for p in re.split(r"[-_:]+", w)}
-        if name in APART or name == "header" and not inside or name not in ("html", "body") and parts & APART_WORDS:
+        above.append(step)
+        if name in APART or name == "header" and not inside or is_marked(name, words) and "/".join(above) not in holders:
             return True
     return False
 
 
+def article_holders(paths: set[str]) -> frozenset[str]:
+    """Paths of the elements, down to the article elements, that hold all blocks of articles."""
+    plain = lambda path: "/".join(step.partition(".")[0] for step in path.split("/"))
+    held = [path.split("/") for path in paths if in_article(path) and not is_apart(plain(path))]
+    common = next(iter(held), [])
+    for steps in held:
+        common = common[:next((k for k, (x, y) in enumerate(zip(common, steps)) if x != y), min(len(common), len(steps)))]
+    last = max((k for k, step in enumerate(common) if step.partition(".")[0] in ARTICLE), default=len(common) - 1)
+    return frozenset("/".join(common[:k + 1]) for k in range(last + 1))
+
+
 def content_slots(wrapper: list[list]) -> set[str]:
     """Paths of the slots that hold the main text.
 
-    Those in an article element if the wrapper has any that counts, otherwise all that are not apart.
+    Those in an article element if the wrapper has any that counts, otherwise all that are
+    not apart; text outside any block element has the empty path.
     """
-    paths = {path for group, _, _ in wrapper for path in group}
-    kept = {path for path in paths if path and not is_apart(path)}
+    paths = {path for group, *_ in wrapper for path in group}
+    holders = article_holders(paths)
+    kept = {path for path in paths if not is_apart(path, holders)}
     return {path for path in kept if in_article(path)} or kept
 
 

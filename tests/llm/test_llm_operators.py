@@ -381,6 +381,18 @@ def test_main_text_of_a_page():
     assert html_wrappers.read_page(PAGE, wrapper) == "Head & title First boldly spaced line Second <one> café 😀 a b open"
 
 
+def test_containers_of_an_article_do_not_lose_it():
+    read = lambda page: html_wrappers.read_page(page, html_wrappers.fold([p for p, _ in html_wrappers.blocks(page)]))
+    article = "<article><h1>Head</h1><p>Body</p></article>"
+    for opened in ('<main class="content with-sidebar">', '<div class="header-fixed">', '<div id="search-results">', '<div class="no-sidebar">',
+                   '<div id="search">', '<main class="sidebar"><div class="comments">'):
+        assert read(f'<body>{opened}{article}</div></main><div class="ad">Buy</div>') == "Head Body"
+    assert read('<article><h2 class="notice">Note</h2><section class="related-work"><p>Work</p></section><p class="ad">Buy</p></article>') == "Note Work"
+    assert read(f'<main>{article}<section class="comments"><article><p>Reply</p></article></section></main>') == "Head Body"
+    assert read("Hello<p>World</p>") == "Hello World" and read("plain") == "plain"
+    assert read('<div class="no-sidebar"><p>Text</p></div><div class="ad-container">Buy</div><div class="cookie-notice">C</div>') == "Text"
+
+
 def test_wrappers_align_to_optional_and_repeated():
     fold = html_wrappers.fold
     a, b = fold(["h", "p", "p", "p", "f"]), fold(["h", "n", "p", "f"])
