@@ -4,8 +4,10 @@ Every page becomes a stream of blocks: the path of block elements above a run of
 Runs that repeat are folded into repeated groups, so that pages of one template have few
 different streams. The streams of a host are aligned again and again until one wrapper is
 left, a union-free regular expression: what both sides have stays required, what only one
-side has becomes optional, what repeats anywhere is repeated. Its text slots are then told
-apart by their paths, once for the host, and each page is read by aligning it with its wrapper.
+side has becomes optional, what repeats anywhere is repeated. Every page is then aligned with
+the wrapper of its host, and the texts at each item are compared over the host's articles: an
+item with one text in different articles is template, one whose text differs is a slot. A
+page's main text is what it has in slots whose paths belong to the article.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
@@ -119,6 +122,11 @@ def blocks(page: str) -> list[tuple[str, str]]:
 
 def fold(paths: list[str]) -> list[list]:
     """A stream with its repetitions folded, shortest groups first."""
+    return [[group, False, times > 1] for group, times in _folded(paths)]
+
+
+def _folded(paths: list[str]) -> list[tuple[list[str], int]]:
+    """The groups of a stream and how often each follows itself."""
     items, at = [], 0
     while at < len(paths):
         best = 1, 1
@@ -130,7 +138,7 @@ def fold(paths: list[str]) -> list[list]:
                 best = group, times
                 break
         group, times = best
-        items.append([paths[at:at + group], False, times > 1])
+        items.append((paths[at:at + group], times))
         at += group * times
     return items
 
@@ -222,16 +230,48 @@ def content_slots(wrapper: list[list]) -> set[str]:
     return {path for path in kept if in_article(path)} or kept
 
 
-def read_page(page: str, wrapper: list[list]) -> str:
+def _aligned(page: str, wrapper: list[list]) -> tuple[list[tuple[str, str]], list[list], list[tuple[int, int, int]]]:
+    """A page's blocks, its folded items, and (item of the wrapper, its first block, the block after it) of what fits the wrapper."""
+    stream = blocks(page)
+    folded = _folded([path for path, _ in stream])
+    ends = [0]
+    for group, times in folded:
+        ends.append(ends[-1] + len(group) * times)
+    items = [[group, False, times > 1] for group, times in folded]
+    return stream, items, [(i, ends[j], ends[j + 1]) for i, j in _matches(wrapper, items)]
+
+
+def _slots_of(wrapper: list[list], items: list[list], fitting: list[tuple[int, int, int]]) -> set[str]:
+    """Content slots of a page: those of its wrapper, or of its own stream if it has none of the wrapper's."""
+    return content_slots(wrapper) & {path for i, _, _ in fitting for path in wrapper[i][0]} or content_slots(items)
+
+
+def read_page(page: str, wrapper: list[list], template: frozenset[int] = frozenset()) -> str:
     """Main text of a page: its stream is aligned with the wrapper and the content slots are joined.
 
-    A page with none of the wrapper's article slots is read by its own stream.
+    What stands at the wrapper's ``template`` items (their indices) is left out. A page with
+    none of the wrapper's article slots is read by its own stream.
     """
-    stream = blocks(page)
-    items = fold([path for path, _ in stream])
-    fitting = {path for i, _ in _matches(wrapper, items) for path in wrapper[i][0]}
-    slots = content_slots(wrapper) & fitting or content_slots(items)
-    return " ".join(text for path, text in stream if path in slots)
+    stream, items, fitting = _aligned(page, wrapper)
+    slots = _slots_of(wrapper, items, fitting)
+    dropped = {at for i, start, end in fitting if i in template for at in range(start, end)}
+    return " ".join(text for at, (path, text) in enumerate(stream) if path in slots and at not in dropped)
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def item_texts(page: str, wrapper: list[list]) -> tuple[int, list[tuple[int, int, bool, int]]]:
+    """What tells the page's article from others, and (item of the wrapper, hash of its text, is it content, characters).
+
+    Articles are told apart by their longest block, so copies of one are one, whatever date or notice they carry.
+    """
+    stream, items, fitting = _aligned(page, wrapper)
+    slots = _slots_of(wrapper, items, fitting)
+    article = max((text for path, text in stream if path in slots), key=lambda text: (len(text), text), default="")
+    return _hash(article), [(i, _hash("\n".join(text for _, text in stream[start:end])), any(path in slots for path, _ in stream[start:end]),
+                             sum(len(text) for _, text in stream[start:end])) for i, start, end in fitting]
 
 
 # --- Spark ---
@@ -267,15 +307,50 @@ def wrappers(pages: DataFrame) -> DataFrame:
         streams = split.groupBy("host", "groups").applyInPandas(_align_all, "host string, stream string").distinct()
 
 
+def _item_texts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """By host and item of its wrapper: least and largest hash of its texts and of the articles it is in, whether it is content, characters and pages."""
+    parsed: dict[str, list] = {}
+    for batch in batches:
+        found: dict[tuple, list] = {}
+        for host, page, stream in zip(batch["host"], batch["html"], batch["stream"]):
+            if stream not in parsed:
+                parsed.clear()
+                parsed[stream] = json.loads(stream)
+            article, texts = item_texts(page, parsed[stream])
+            for item, text, content, chars in texts:
+                x = found.setdefault((host, item), [text, text, article, article, False, 0, 0])
+                x[:] = min(x[0], text), max(x[1], text), min(x[2], article), max(x[3], article), x[4] or content, x[5] + chars, x[6] + 1
+        yield pd.DataFrame([(*key, *x) for key, x in found.items()], columns=_ITEM_COLUMNS)
+
+
+_ITEM_COLUMNS = ["host", "item", "least", "most", "first", "last", "content", "chars", "pages"]
+
+
+def template_items(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """``host`` and ``template``: the items of its wrapper whose text is the same in different articles, over all its pages.
+
+    Only where they have less of the content than the slots: otherwise the host's pages are
+    near copies of one article, which tell nothing of its template.
+    """
+    rows = pages.join(found, F.col("host") == F.col("of")).select("host", "html", "stream")
+    texts = rows.mapInPandas(_item_texts, "host string, item int, least long, most long, first long, last long, content boolean, chars long, pages long")
+    items = texts.groupBy("host", "item").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("first").alias("first"), F.max("last").alias("last"),
+                                              F.max("content").alias("content"), F.sum("chars").alias("chars"), F.sum("pages").alias("pages"))
+    same = (F.col("least") == F.col("most")) & (F.col("first") != F.col("last"))
+    share = lambda which: F.sum(F.when(F.col("content") & which, F.col("chars") / F.col("pages")).otherwise(0.0))
+    hosts = items.groupBy("host").agg(F.collect_list(F.when(same, F.col("item"))).alias("template"), share(same).alias("fixed"), share(~same).alias("varied"))
+    return materialize(hosts.where((F.size("template") > 0) & (F.col("fixed") < F.col("varied"))).select("host", "template"), "template-items")
+
+
 def _texts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     parsed: dict[str, list] = {}
     for batch in batches:
         out = []
-        for page, stream in zip(batch["html"], batch["stream"]):
+        for page, stream, template in zip(batch["html"], batch["stream"], batch["template"]):
             if stream not in parsed:
                 parsed.clear()
                 parsed[stream] = json.loads(stream)
-            out.append(read_page(page, parsed[stream]))
+            out.append(read_page(page, parsed[stream], frozenset(() if template is None else (int(i) for i in template))))
         yield pd.DataFrame({"key": batch["key"].astype("Int64"), "url": batch["url"], "text": out})
 
 
@@ -288,6 +363,9 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"),
                         F.coalesce(url_host(F.col(url)), F.lit("")).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     found = wrappers(rows.select("host", "html")).withColumnRenamed("host", "of")
-    joined = rows.join(found, F.col("host") == F.col("of")).select("key", "url", "html", "stream")
+    marks = template_items(rows.select("host", "html"), found)
+    # written, so that Spark knows its size and need not shuffle the pages by host
+    found = materialize(found.join(marks, F.col("of") == F.col("host"), "left").select("of", "stream", "template"), "marked-wrappers")
+    joined = rows.join(found, F.col("host") == F.col("of")).select("key", "url", "html", "stream", "template")
     texts = joined.mapInPandas(_texts, "key long, url string, text string")
     return texts.select(F.col("key").alias(key), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))

@@ -415,3 +415,19 @@ def test_extraction_over_hosts(spark, monkeypatch):
     assert (texts[100], texts[101], texts[102], texts[103], texts[104], texts[105]) == ("alone", "", "", "no article", LONG, "cut")
     assert all(r.n_chars == len(r.text) for r in found)
     assert html_wrappers.extract(pages.limit(0)).isEmpty()
+
+
+def test_same_texts_of_different_articles_are_template(spark):
+    rng = random.Random(10)
+    text = lambda n: " ".join(rng.choices(LONG.split()[:900], k=n))
+    page = lambda body, day: f"<div class='top'>Our menu</div><div class='day'>{day}</div><div class='story'><p>{'</p><p>'.join(body)}</p></div><div class='end'>All rights reserved</div>"
+    story = [[text(20) for _ in range(1 + k % 3)] for k in range(12)]
+    rows = [(k, f"http://news.org/{k}", page(story[k], f"day {k}")) for k in range(12)] + [(20 + k, f"http://news.org/c{k}", page(story[5], f"again {k}")) for k in range(3)]
+    # copies of one article, but for the day, and near copies tell nothing of a template
+    rows += [(100 + k, f"http://copy.org/{k}", page(story[5], f"day {k}")) for k in range(4)]
+    rows += [(200 + k, f"http://near.org/{k}", f"<article><h1>{story[1][0]}</h1><p>{story[5][0]}</p><h2>x {'y' * 200} {k}</h2><h3>{LONG[:900]}</h3></article>") for k in range(2)]
+    found = {r.page_id: r.text for r in html_wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[k] == " ".join([f"day {k}", *story[k]]) for k in range(12))
+    assert all(found[20 + k] == " ".join([f"again {k}", *story[5]]) for k in range(3))
+    assert all(found[100 + k] == " ".join(["Our menu", f"day {k}", *story[5], "All rights reserved"]) for k in range(4))
+    assert all(story[5][0] in found[200 + k] and LONG[:900].strip() in found[200 + k] for k in range(2))
