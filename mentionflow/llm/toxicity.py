@@ -5,8 +5,8 @@ share their backoff: below the longest context both classes use the same continu
 counts, so an expression that neither class has seen weighs nothing, and inflected or rare
 forms weigh by the stems they share with others. A word's log-likelihood ratio is divided
 by its length; a text's features are its own length-normalised ratio and those of its most
-toxic expressions, turned into a probability by a logistic fit on labelled texts that the
-counts have not seen.
+toxic expressions, turned into a probability by a logistic fit. The fit is out of fold: its
+features come from counts that have not seen the fit's texts; the model that scores counts all.
 
 Counting, continuation counts and smoothing run in Spark over all labelled texts. N-grams
 and contexts are known by hashes of ``KEY_BITS`` and ``CONTEXT_BITS`` bits, which bounds
@@ -33,9 +33,9 @@ ORDER = 6
 DISCOUNT = 0.75
 #: Bits of the hashes of n-grams and of contexts: bound the tables of ratios.
 KEY_BITS, CONTEXT_BITS = 24, 21
-#: Labelled texts that the logistic fit uses at most, in expectation; the counts use all others.
+#: Labelled texts that the logistic fit uses at most, in expectation; the counts of the model use all rows.
 FIT_ROWS = 20_000
-#: One of so many labelled texts (by the hash of the text) is kept from the counts for the fit.
+#: One of so many labelled texts (by the hash of the text) is kept from the counts that the fit's features come from.
 FIT_SHARE = 5
 #: Letters from which a word's ratio is spread over its length only.
 LEAST_LETTERS = 4
@@ -302,18 +302,26 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: st
     spark = labelled.sparkSession
     rows = labelled.where(F.col(label).isin(0, 1)).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("toxic"), F.col(key or text).alias("key"))
     draw = F.pmod(F.xxhash64("text"), F.lit(FIT_SHARE))
-    words = materialize(count_words(rows.where(draw != 0)), "toxicity-words")
-    by_gram, by_context = ratios(words)
-    model = Model(spark, dense(by_gram, "gram", KEY_BITS), dense(by_context, "context", CONTEXT_BITS))
+    others = materialize(count_words(rows.where(draw != 0)), "toxicity-words")
     apart = rows.where(draw == 0)
     share = FIT_ROWS / max(FIT_ROWS, apart.count())
     sample = apart.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000))
-    fitted = model.featured(sample, "toxic int").toPandas()
+    partial = _counted(spark, others)
+    fitted = partial.featured(sample, "toxic int").toPandas()
+    partial.tables.destroy()
+    words = others.unionByName(count_words(apart)).groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    model = _counted(spark, materialize(words, "toxicity-words"))
     x = np.array(fitted["features"].tolist(), float).reshape(-1, FEATURES)
     model.fit = fit_logistic(x, fitted["toxic"].to_numpy(float))
     return model
 
 
+def _counted(spark, words: DataFrame) -> Model:
+    """Model with the ratios of counted words, without its fit."""
+    by_gram, by_context = ratios(words)
+    return Model(spark, dense(by_gram, "gram", KEY_BITS), dense(by_context, "context", CONTEXT_BITS))
+
+
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All rows with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on).
 
