@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, fingerprints, html_wrappers, licenses, mixing, ngram_join, toxicity, url_graph, warc
+from ..session import materialize
+from . import (chat, decontaminate, fingerprints, hard_negatives, html_wrappers, licenses, merkle, mixing, ngram_join, packing,
+               toxicity, url_graph, warc)
 from .common import bounded, table
 
 # --- 1: benchmark decontamination ---
@@ -246,5 +248,110 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "class_id", "component_id")
 
 
-QUERIES = {"op2_chat_formatting": op2_chat_formatting, "op8_licenses": op8_licenses, "op1_decontamination": op1_decontamination, "op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter}
-SQL = {"op8_licenses": OP8_SQL, "op1_decontamination": OP1_SQL, "op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL}
+# --- 11: packing ---
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces).drop("salt")
+
+
+# --- 12: Merkle manifest ---
+
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, and whether what a reader received still leads to the root."""
+    docs = table(spark, sf_dir, "documents").select(*LEAF_FIELDS)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    received = merkle.leaf_hash([*map(F.col, LEAF_FIELDS[:-1]), tampered])
+    proved = merkle.manifest(docs, LEAF_FIELDS, received=merkle.hexed(received))
+    folded = proved.withColumn("folded_root", merkle.folded(F.col("received"), F.col("proof")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("proof")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _leaf_sql(text: str) -> str:
+    part = lambda c: f"coalesce(CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    return "sha256(" + " || ".join(part(c) for c in [*LEAF_FIELDS[:-1], text]) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All nodes of the trees over ``leaves`` (tree, pos, digest, n): level by level, runs of three."""
+    return f"""
+{name}(tree, level, pos, digest, n) AS (
+  SELECT tree, 0, CAST(pos AS BIGINT), digest, CAST(n AS BIGINT) FROM {leaves}
+  UNION ALL SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3
+  FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 3, n)"""
+
+
+def _siblings_sql(name: str) -> str:
+    """The siblings of every node below its tree's root."""
+    return f"""
+{name}_siblings AS (
+  SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.level = b.level AND a.pos // 3 = b.pos // 3
+  WHERE a.n > 1 GROUP BY a.tree, a.level, a.pos)"""
+
+
+OP12_SQL = f"""
+WITH RECURSIVE bits(byte, k, c) AS (
+  SELECT range, 0, range FROM range(0, 256)
+  UNION ALL SELECT byte, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE k = 8),
+crc(doc_id, rest, c) AS (
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), CAST(4294967295 AS BIGINT) FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT doc_id, substr(rest, 2), xor(c >> 8, t[1 + (xor(c, CAST(ascii(rest) AS BIGINT)) & 255)]) FROM crc, crc_table WHERE rest <> ''),
+odd AS (SELECT doc_id AS odd_id, xor(c, 4294967295) % 2 = 0 AS tampered FROM crc WHERE rest = ''),
+hashed AS (
+  SELECT d.doc_id, source, {_leaf_sql('text')} AS leaf, {_leaf_sql("CASE WHEN tampered THEN replace(text, chr(10), '') ELSE text END")} AS received
+  FROM documents d LEFT JOIN odd o ON o.odd_id = d.doc_id),
+sources AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, n FROM (SELECT source, count(*) AS n FROM hashed GROUP BY source)),
+rows AS (
+  SELECT h.*, s.tree, s.n, row_number() OVER (PARTITION BY s.tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM hashed h JOIN sources s ON h.source IS NOT DISTINCT FROM s.source),
+leaves AS (SELECT tree, pos, leaf AS digest, n FROM rows),{_tree_sql('low', 'leaves')},
+subroots AS (SELECT tree, digest FROM low WHERE n = 1),
+tops AS (SELECT -1 AS tree, tree AS pos, digest, (SELECT count(*) FROM sources) AS n FROM subroots),{_tree_sql('high', 'tops')},{_siblings_sql('low')},{_siblings_sql('high')},
+steps AS (
+  SELECT r.tree, r.pos, s.level, s.l, s.r FROM rows r JOIN low_siblings s ON s.tree = r.tree AND s.pos = r.pos // CAST(pow(3, s.level) AS BIGINT)
+  UNION ALL SELECT r.tree, r.pos, 1000 + s.level, s.l, s.r FROM rows r JOIN high_siblings s ON s.pos = r.tree // CAST(pow(3, s.level) AS BIGINT)),
+proved AS (SELECT tree, pos, string_agg(l || r, '' ORDER BY level) AS proof, list([l, r] ORDER BY level) AS path FROM steps GROUP BY tree, pos),
+fold(tree, pos, node, path) AS (
+  SELECT r.tree, r.pos, received, coalesce(path, []) FROM rows r LEFT JOIN proved p ON p.tree = r.tree AND p.pos = r.pos
+  UNION ALL SELECT tree, pos, sha256(path[1][1] || node || path[1][2]), path[2:] FROM fold WHERE len(path) > 0),
+root AS (SELECT digest AS root FROM high WHERE n = 1)
+SELECT r.doc_id, r.leaf, s.digest AS subroot, root, sha256(coalesce(p.proof, '')) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM rows r JOIN subroots s ON s.tree = r.tree JOIN fold f ON f.tree = r.tree AND f.pos = r.pos AND len(f.path) = 0
+LEFT JOIN proved p ON p.tree = r.tree AND p.pos = r.pos, root
+"""
+
+# --- 13: hard negatives ---
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives.hard_negatives(rows)
+
+
+OP13_SQL = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM valid a JOIN valid b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id AND len(b.v) = len(a.v)),
+near AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+         QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM near p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) <= 10
+"""
+
+QUERIES = {"op2_chat_formatting": op2_chat_formatting, "op8_licenses": op8_licenses, "op1_decontamination": op1_decontamination, "op4_ngram_join": op4_ngram_join, "op3_toxicity": op3_toxicity, "op10_html_extraction": op10_html_extraction, "op6_fingerprints": op6_fingerprints, "op5_warc": op5_warc, "op7_mixing": op7_mixing, "op9_url_filter": op9_url_filter,
+           "op11_packing": op11_packing, "op12_merkle": op12_merkle, "op13_hard_negatives": op13_hard_negatives}
+SQL = {"op8_licenses": OP8_SQL, "op1_decontamination": OP1_SQL, "op5_warc": OP5_SQL, "op7_mixing": OP7_SQL, "op9_url_filter": OP9_SQL,
+       "op12_merkle": OP12_SQL, "op13_hard_negatives": OP13_SQL}
