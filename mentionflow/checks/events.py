@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import matching as M
+from ..operators import large_dictionary, matching as M
 from ..sources.dictionary import Dictionary, clean_keywords, longest_keywords
 from ..sources.events import to_enriched_json
 from . import inputs as I
@@ -105,6 +105,20 @@ def m3(spark, sf):
         "doc_id", F.explode(T.capped_hits(lines, I.TEXT_DICTIONARY)).alias("keyword"))
 
 
+@check("m3_keyword_cap", f"""WITH {I.DICT_SQL}, {I.PHRASES_SQL}, line_lists AS (
+  SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: lower(x)), lambda x: x <> '')
+    AS messages FROM documents),
+msgs AS (SELECT doc_id, unnest(messages) AS message, generate_subscripts(messages, 1) AS pos FROM line_lists),
+{I.CAPPED_SQL},
+counted AS (SELECT doc_id, pos, count(*) AS n FROM first_hits GROUP BY doc_id, pos),
+before AS (SELECT doc_id, pos, coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS found FROM counted)
+SELECT doc_id, keyword FROM first_hits JOIN before USING (doc_id, pos) WHERE found <= {T.KEYWORD_CAP}""")
+def m3_cap(spark, sf):
+    """The live format's cap: lines after the one that brings more than ten keywords do not count."""
+    lines = F.filter(F.split("text", "\n"), lambda x: x != "")
+    return _docs(spark, sf).select("doc_id", F.explode(T.capped_hits(lines, I.TEXT_DICTIONARY, T.KEYWORD_CAP)).alias("keyword"))
+
+
 @check("m4_any_match", f"""WITH {I.DOCS_SQL}, {I.DICT_SQL}, {I.SEARCH_SQL}, {I.ANY_SQL}
 SELECT doc_id, string_agg(keyword, ',' ORDER BY keyword) AS technologies FROM any_hits GROUP BY doc_id""")
 def m4(spark, sf):
@@ -169,6 +183,28 @@ def m5(spark, sf):
     return hits.select("doc_id", F.array_join("technologies", ",").alias("technologies"))
 
 
+_LARGE_SQL = rf"""WITH {I.DOCS_SQL},
+toks AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS keyword FROM documents),
+words AS (SELECT keyword, CAST(min(doc_id) AS INTEGER) AS ordinal FROM toks WHERE lang <> 'en' GROUP BY keyword),
+named AS (SELECT doc_id, lower(repo) AS repo FROM doc_ev WHERE repo IS NOT NULL),
+parts AS (SELECT DISTINCT doc_id, unnest(string_split(translate(repo, '/-._', '    '), ' ')) AS keyword FROM named),
+exact AS (SELECT doc_id, keyword FROM parts WHERE keyword IN (SELECT keyword FROM words)),
+rest AS (SELECT * FROM named WHERE doc_id NOT IN (SELECT doc_id FROM exact)),
+best AS (
+  SELECT doc_id, keyword FROM rest JOIN words ON contains(repo, keyword)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(keyword) DESC, ordinal, keyword DESC) = 1)
+SELECT * FROM exact UNION ALL SELECT * FROM best"""
+
+
+@check("m5_repo_match_large", _LARGE_SQL)
+def m5_large(spark, sf):
+    """Names against a dictionary that grows with the data: all words of the texts in other languages."""
+    words = (_docs(spark, sf).where("lang <> 'en'").select(F.col("doc_id").cast("int").alias("ordinal"), F.explode(T.tokens(F.col("text"))).alias("keyword"))
+             .groupBy("keyword").agg(F.min("ordinal").alias("ordinal")))
+    events = I.doc_events(spark, sf).select(_id(), F.col("repo.name").alias("repo_name"))
+    return large_dictionary.match_repo(events, "repo_name", words, ["doc_id"])
+
+
 @check("m6_longest_keywords", """SELECT keyword, ordinal FROM (
   SELECT p_name AS keyword, min(p_partkey) AS ordinal FROM part GROUP BY p_name)
 ORDER BY length(keyword) DESC, ordinal LIMIT 20""")

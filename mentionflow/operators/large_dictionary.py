@@ -2,9 +2,12 @@
 
 The same results as the forms that carry the dictionary inside expressions, by equi-joins:
 a text gives its distinct tokens or 4-grams, the dictionary gives each keyword's anchor, and
-only pairs that share one are tested. Spark broadcasts the dictionary side while it is
-small; a frequent token's rows may be split by AQE, as the dictionary has few rows for it.
-``keys`` must identify a row.
+only pairs that share one are tested. Short strings (repository names, runs of punctuation)
+give their substrings of the lengths that keywords have, so every pair that the join makes
+is a match. Spark broadcasts the dictionary side while it is small; beyond that a bit set of
+the keywords drops what has no partner before it is shuffled (``key_filter``). A frequent
+token's rows may be split by AQE, as the dictionary has few rows for it. ``keys`` must
+identify a row.
 """
 
 from __future__ import annotations
@@ -12,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import rules as R, text as T
+from ..session import materialize
+from .key_filter import join_keys
 
 _WORD_CHAR = r"[\p{L}\p{N}_]"
 
@@ -45,7 +50,8 @@ def match_phrases(df: DataFrame, text: str, dictionary: DataFrame, keys: list[st
     runs = F.array_sort(T.tokens(F.col("keyword")), lambda a, b: F.length(b) - F.length(a))
     anchored = phrases.withColumn("_anchor", F.get(runs, F.lit(0)))
     by_token = _tokens(df, text, keys).join(anchored.where("_anchor IS NOT NULL"), F.col("_token") == F.col("_anchor")).select(*keys, "keyword")
-    by_gram = _inside(df, text, anchored.where("_anchor IS NULL").select("keyword"), keys, 1)
+    runs_of_others = F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"[^{_WORD_CHAR[1:-1]}]+"), F.lit(0))
+    by_gram = _within(df, runs_of_others, materialize(anchored.where("_anchor IS NULL").select("keyword"), "loose-keywords"), keys)
     candidates = by_token.unionByName(by_gram).distinct()
     lowered = F.lower(F.col(text))
     return (df.join(candidates, keys).where(F.contains(lowered, F.col("keyword")) & F.rlike(lowered, _whole_word(F.col("keyword"))))
@@ -60,6 +66,23 @@ def _inside(df: DataFrame, text: str, words: DataFrame, keys: list[str], size: i
     return df.join(pairs, keys).where(F.contains(F.lower(F.col(text)), F.col("keyword"))).select(*keys, "keyword")
 
 
+def _within(df: DataFrame, strings: Column, words: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, columns of ``words``): keywords that are substrings of one of a row's short ``strings``.
+
+    The strings' substrings are made at the lengths that keywords have (the driver sees these
+    lengths, no keyword) and joined as they are, so no pair needs a test. ``words`` is stored
+    and has one row per keyword.
+    """
+    lengths = F.array(*[F.lit(r[0]) for r in words.select(F.length("keyword")).distinct().collect()]).cast("array<int>")
+
+    def pieces(string: Column) -> Column:
+        fitting = F.filter(lengths, lambda n: (n > 0) & (n <= F.length(string)))
+        return F.flatten(F.transform(fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(string) - n + 1), lambda at: F.substring(string, at, n))))
+
+    every = F.array_distinct(F.flatten(F.transform(F.array_distinct(strings), pieces)))
+    return join_keys(df.select(*keys, F.explode(every).alias("keyword")), words, "keyword")
+
+
 def match_any(df: DataFrame, text: str, dictionary: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, keyword): keywords that are a token, or longer than three characters and anywhere in the text."""
     words = dictionary.select("keyword").distinct()
@@ -84,14 +107,17 @@ def match_messages(df: DataFrame, messages: str, dictionary: DataFrame, keys: li
 
 
 def match_repo(df: DataFrame, repo: str, dictionary: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, keyword): keywords among the parts of a repository name, else the longest that is a substring."""
-    words = dictionary.groupBy("keyword").agg(F.min("ordinal").alias("ordinal"))
+    """(keys, keyword): keywords among the parts of a repository name, else the longest that is a substring.
+
+    Of equally long ones the first of the dictionary counts, then the greater text.
+    """
+    words = materialize(dictionary.groupBy("keyword").agg(F.min("ordinal").alias("ordinal")), "keywords")
     parts = F.split(F.translate(F.lower(F.col(repo)), "/-._", "    "), r"(?U)\s+")
-    exact = (df.select(*keys, F.explode(F.array_distinct(parts)).alias("_part"))
-             .join(words, F.col("_part") == F.col("keyword")).select(*keys, "keyword"))
+    named = df.select(*keys, F.explode(F.array_distinct(parts)).alias("keyword"))
+    exact = materialize(join_keys(named, words, "keyword").select(*keys, "keyword"), "exact-parts")
     rest = df.join(exact.select(*keys).distinct(), keys, "left_anti")
-    inside = _inside(rest, repo, words.select("keyword"), keys, 1).join(words, "keyword")
-    best = inside.groupBy(*keys).agg(F.max_by("keyword", F.struct(F.length("keyword"), -F.col("ordinal"))).alias("keyword"))
+    inside = _within(rest, F.array(F.lower(F.col(repo))), words, keys)
+    best = inside.groupBy(*keys).agg(F.max_by("keyword", F.struct(F.length("keyword"), -F.col("ordinal"), "keyword")).alias("keyword"))
     return exact.unionByName(best)
 
 

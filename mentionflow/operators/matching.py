@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T
 from ..functions.base import explode_if
-from ..sources.dictionary import MAX_ENTRIES, Dictionary
+from ..session import materialize
+from ..sources.dictionary import Dictionary
+from .key_filter import join_keys
 
 
 def relevant_events(events: DataFrame) -> DataFrame:
@@ -59,15 +61,14 @@ def match_phrases(df: DataFrame, text: str, dictionary: Dictionary, keys: list[s
 def match_words_join(df: DataFrame, text: str, dictionary: DataFrame, keys: list[str]) -> DataFrame:
     """The same result for a dictionary too large for an expression.
 
-    Tokens are made distinct per row before they leave it. The dictionary has one row
-    per keyword, so the join adds nothing and AQE may split a hot token. It is only
-    broadcast when its counted size is within the bound.
+    Tokens are made distinct per row before they leave it. The dictionary is written once
+    and measured: a small one is broadcast, of a large one the words' bits are tested right
+    where the tokens are made, so that hardly any token without a partner is shuffled. The
+    dictionary has one row per keyword, so the join adds nothing and AQE may split a hot token.
     """
-    words = dictionary.select("keyword").distinct()
-    within = words.limit(MAX_ENTRIES + 1).count() <= MAX_ENTRIES
-    side = F.broadcast(words) if within else words
+    words = materialize(dictionary.select("keyword").distinct(), "dictionary")
     found = df.select(*keys, F.explode(F.array_distinct(T.tokens(F.col(text)))).alias("keyword"))
-    return found.join(side, "keyword").select(*keys, "keyword")
+    return join_keys(found, words, "keyword").select(*keys, "keyword")
 
 
 def match_any(df: DataFrame, text: str, dictionary: Dictionary, column: str = "technologies",
