@@ -140,6 +140,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc_i
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("hit"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")), "hits")
     counted = counted.withColumnRenamed("doc_id", "hit_id")
-    return docs.join(counted, F.col(doc_id) == F.col("hit_id"), "left").select(
-        F.col(doc_id), F.size(words(F.col(text))).cast("long").alias("n_words"),
+    own = docs.select(F.col(doc_id).alias("own_id"), F.col(text).alias("own_text"))
+    return own.join(counted, F.col("own_id") == F.col("hit_id"), "left").select(
+        F.col("own_id").alias(doc_id), F.size(words(F.col("own_text"))).cast("long").alias("n_words"),
         F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("item_ids"))

@@ -129,5 +129,6 @@ def recognise(docs: DataFrame, rules: list[tuple[str, list[int]]] = RULES, sente
     found = sequences.select("doc_id", F.when(F.col("cut") == "lines", F.col("ids")).alias("ids"), held.alias("held"))
     found = found.groupBy(F.col("doc_id").alias("hit_id")).agg(
         F.max("ids").alias("ids"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("held")))).alias("held"))
-    return docs.join(found, F.col(doc_id) == F.col("hit_id"), "left").select(
-        F.col(doc_id), F.coalesce("ids", F.array().cast("array<int>")).alias("sentence_ids"), F.coalesce("held", F.array().cast("array<string>")).alias("licenses"))
+    own = docs.select(F.col(doc_id).alias("own_id"))
+    return own.join(found, F.col("own_id") == F.col("hit_id"), "left").select(
+        F.col("own_id").alias(doc_id), F.coalesce("ids", F.array().cast("array<int>")).alias("sentence_ids"), F.coalesce("held", F.array().cast("array<string>")).alias("licenses"))

@@ -14,7 +14,9 @@ cluster gets its trees. Nothing that could link is ever in different clusters.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,8 +29,47 @@ from .graph import components
 
 ship_code(__name__)
 
-#: Words in a shingle, and the similarity from which documents link: NUM / DEN.
-SHINGLE, NUM, DEN = 3, 90, 100
+
+@dataclass(frozen=True)
+class Rule:
+    """Words in a shingle, and the similarity from which documents link: ``num`` / ``den``."""
+
+    width: int = 3
+    num: int = 90
+    den: int = 100
+
+    def __post_init__(self):
+        if not (self.width > 0 and 0 < self.num < self.den):
+            raise ValueError("a rule takes at least one word and a similarity between 0 and 1")
+
+    @functools.cached_property
+    def bands(self) -> np.ndarray:
+        """Least sizes of the bands. Below the first, sets that link are equal."""
+        found = [max(1, self.num // (self.den - self.num))]
+        while found[-1] < 1 << 40:
+            found.append(max(found[-1] + 1, int(found[-1] * BAND)))
+        return np.array(found, np.int64)
+
+    def differing(self, band: int) -> int:
+        """Shingles in which linked sets of sizes below the end of a band differ at most."""
+        return int(2 * (self.bands[band + 1] - 1) * (self.den - self.num) // (self.den + self.num))
+
+    def overlap_needed(self, a, b):
+        """Least overlap of linked sets of sizes a and b (or at least those)."""
+        return -(-self.num * (a + b) // (self.num + self.den))
+
+    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Exact test on two sets."""
+        if not len(a) or not len(b):
+            return False
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return self.den * common >= self.num * (len(a) + len(b) - common)
+
+    def may_link(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether the points of two sets allow a link."""
+        return int(np.minimum(point(a), point(b)).sum()) >= self.overlap_needed(len(a), len(b))
+
+
 #: Groups of shingles: dimensions of the points.
 GROUPS = 64
 #: Points in a leaf of a tree, and children of a node.
@@ -57,37 +98,20 @@ class WordHashes(dict):
         return value
 
 
-def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str | None, hashes: WordHashes, rule: Rule = Rule()) -> np.ndarray:
     """Sorted distinct hashes of the shingles; of the whole sequence if it has fewer words."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
     codes = np.fromiter((hashes[w] for w in words), np.uint64, len(words))
-    width = min(SHINGLE, len(codes))
+    width = min(rule.width, len(codes))
     out = np.full(len(codes) - width + 1, width, np.uint64)
     for k in range(width):
         out = mixed(out * _M1 + codes[k:len(codes) - width + 1 + k])
     return np.unique(out)
 
 
-def bands() -> list[int]:
-    """Least sizes of the bands. Below the first, sets that link are equal."""
-    least = NUM // (DEN - NUM)
-    found = [least]
-    while found[-1] < 1 << 40:
-        found.append(max(found[-1] + 1, int(found[-1] * BAND)))
-    return found
-
-
-_BANDS = np.array(bands(), np.int64)
-
-
-def differing(band: int) -> int:
-    """Shingles in which linked sets of sizes below the end of a band differ at most."""
-    return int(2 * (_BANDS[band + 1] - 1) * (DEN - NUM) // (DEN + NUM))
-
-
-def part_keys(shingles: np.ndarray) -> np.ndarray:
+def part_keys(shingles: np.ndarray, rule: Rule = Rule()) -> np.ndarray:
     """Keys of the parts of a set; sets that link and are not equal have one in common.
 
     With r + 1 + e parts at least e + 1 are equal. Empty parts make no key: should all
@@ -95,17 +119,18 @@ def part_keys(shingles: np.ndarray) -> np.ndarray:
     into more parts as well.
     """
     n = len(shingles)
-    if n < _BANDS[0]:
+    bands = rule.bands
+    if n < bands[0]:
         return np.empty(0, np.int64)
-    band = int(np.searchsorted(_BANDS, n, "right")) - 1
-    schemes = [band] + ([band + 1] if n * DEN >= NUM * _BANDS[band + 1] else [])
+    band = int(np.searchsorted(bands, n, "right")) - 1
+    schemes = [band] + ([band + 1] if n * rule.den >= rule.num * bands[band + 1] else [])
     low, high = (shingles & np.uint64(0xFFFFFFFF)).astype(float), (shingles >> np.uint64(32)).astype(float)
     spread = mixed(shingles + _M1) >> np.uint64(20)
     keys = []
     for scheme in schemes:
         extra = 0
         while True:
-            parts = differing(scheme) + 1 + extra
+            parts = rule.differing(scheme) + 1 + extra
             place = (spread % np.uint64(parts)).astype(np.int64)
             counts = np.bincount(place, minlength=parts)
             full = np.flatnonzero(counts)
@@ -118,13 +143,13 @@ def part_keys(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(keys).view(np.int64)
 
 
-def _summaries(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _summaries(rule: Rule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in pieces(batches):
         hashes = WordHashes()
         rows = []
         for text in batch["text"]:
-            found = shingle_set(text, hashes)
-            rows.append((len(found), *(int(x) for x in np.array([found.sum(dtype=np.uint64), mixed(found).sum(dtype=np.uint64)]).view(np.int64)), part_keys(found)))
+            found = shingle_set(text, hashes, rule)
+            rows.append((len(found), *(int(x) for x in np.array([found.sum(dtype=np.uint64), mixed(found).sum(dtype=np.uint64)]).view(np.int64)), part_keys(found, rule)))
         yield pd.DataFrame(rows, columns=["n", "sum_a", "sum_b", "parts"]).assign(doc_id=batch["doc_id"].astype("Int64").to_numpy())
 
 
@@ -133,28 +158,10 @@ def point(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
 
 
-def _sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sets(rule: Rule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in pieces(batches):
         hashes = WordHashes()
-        yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "shingles": [shingle_set(t, hashes).view(np.int64) for t in batch["text"]]})
-
-
-def overlap_needed(a, b):
-    """Least overlap of linked sets of sizes a and b (or at least those)."""
-    return -(-NUM * (a + b) // (NUM + DEN))
-
-
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Exact test on two sets."""
-    if not len(a) or not len(b):
-        return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return DEN * common >= NUM * (len(a) + len(b) - common)
-
-
-def may_link(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether the points of two sets allow a link."""
-    return int(np.minimum(point(a), point(b)).sum()) >= overlap_needed(len(a), len(b))
+        yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "shingles": [shingle_set(t, hashes, rule).view(np.int64) for t in batch["text"]]})
 
 
 class Tree:
@@ -172,7 +179,7 @@ class Tree:
             tops, least, most = np.maximum.reduceat(tops, starts), np.minimum.reduceat(least, starts), np.maximum.reduceat(most, starts)
             self.levels.append((tops, least, most))
 
-    def search(self, point: np.ndarray) -> np.ndarray:
+    def search(self, point: np.ndarray, rule: Rule = Rule()) -> np.ndarray:
         """Indices of the points whose summed minima with this one reach the overlap they need."""
         size = int(point.sum())
         found = np.zeros(1, np.int64)
@@ -181,9 +188,9 @@ class Tree:
             if depth < len(self.levels) - 1:
                 found = (found[:, None] * FANOUT + np.arange(FANOUT)).ravel()
                 found = found[found < len(tops)]
-            found = found[(least[found] * NUM <= size * DEN) & (most[found] * DEN >= size * NUM)]
+            found = found[(least[found] * rule.num <= size * rule.den) & (most[found] * rule.den >= size * rule.num)]
             bound = np.minimum(tops[found], point).sum(1)
-            found = found[bound >= overlap_needed(size, least[found])]
+            found = found[bound >= rule.overlap_needed(size, least[found])]
         return self.order[found]
 
 
@@ -203,7 +210,7 @@ class Sets:
         self.up[self.find(a)] = self.find(b)
 
 
-def links_of_block(rows: pd.DataFrame) -> pd.DataFrame:
+def links_of_block(rows: pd.DataFrame, rule: Rule = Rule()) -> pd.DataFrame:
     """Links that join what was not yet joined, among ``left`` rows and between left and right ones.
 
     ``known`` marks the documents that are already known to hang together.
@@ -217,30 +224,30 @@ def links_of_block(rows: pd.DataFrame) -> pd.DataFrame:
         joined.join(int(i), int(known[0]))
     tree, found = Tree(points), []
     for i in range(int(rows["left"].sum())):
-        for j in tree.search(points[i]):
-            if joined.find(i) != joined.find(int(j)) and linked(sets[i], sets[j]):
+        for j in tree.search(points[i], rule):
+            if joined.find(i) != joined.find(int(j)) and rule.linked(sets[i], sets[j]):
                 joined.join(i, int(j))
                 found.append((ids[i], ids[j]))
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verified(rule: Rule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of sets that link: the bound on the points first, then the sets themselves."""
     for batch in batches:
         keep = []
         for a, b in zip(batch["shingles_a"], batch["shingles_b"]):
             a, b = np.asarray(a, np.int64).view(np.uint64), np.asarray(b, np.int64).view(np.uint64)
-            keep.append(may_link(a, b) and linked(a, b))
+            keep.append(rule.may_link(a, b) and rule.linked(a, b))
         yield batch.loc[keep, ["cluster", "a", "b"]]
 
 
-def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def linked_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     """(summaries with the class of every row, links between class representatives)."""
-    summary = materialize(docs.mapInPandas(_summaries, "doc_id long, n long, sum_a long, sum_b long, parts array<long>"), "summaries")
+    summary = materialize(docs.mapInPandas(functools.partial(_summaries, rule), "doc_id long, n long, sum_a long, sum_b long, parts array<long>"), "summaries")
     key = ["n", "sum_a", "sum_b"]
     classes = (summary.where(F.col("n") > 0).groupBy(*key).agg(F.min("doc_id").alias("class"), F.count("*").alias("rows"))
                .where("rows > 1").select(*[F.col(k).alias(f"c_{k}") for k in key], "class"))
-    classes = materialize(classes, "classes")
+    classes = bounded(materialize(classes, "classes"))
     rows = summary.join(classes, [F.col(k) == F.col(f"c_{k}") for k in key], "left").withColumn("class", F.coalesce("class", "doc_id"))
     # parts of one row per class
     parts = rows.where(F.col("class") == F.col("doc_id")).select("doc_id", F.explode("parts").alias("part"))
@@ -253,22 +260,22 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     clusters = components(pairs)
     members = bounded(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")))
     sets = docs.join(members, "doc_id")
-    sets = materialize(sets.select("doc_id", "text").mapInPandas(_sets, "doc_id long, shingles array<long>")
+    sets = materialize(sets.select("doc_id", "text").mapInPandas(functools.partial(_sets, rule), "doc_id long, shingles array<long>")
                        .join(members, "doc_id").dropDuplicates(["doc_id"]), "cluster-sets")
-    near = _near_hubs(pairs, sets)
-    return rows, near.select("a", "b").unionByName(_search_clusters(sets, near))
+    near = _near_hubs(pairs, sets, rule)
+    return rows, near.select("a", "b").unionByName(_search_clusters(sets, near, rule))
 
 
-def _near_hubs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _near_hubs(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Links between the first document of a part and the others that have it."""
     side = lambda name: sets.select(F.col("doc_id").alias(f"id_{name}"), F.col("shingles").alias(f"shingles_{name}"))
     joined = (pairs.join(side("b"), F.col("b") == F.col("id_b"))
               .join(side("a").join(sets.select(F.col("doc_id").alias("id_a"), "cluster"), "id_a"), F.col("a") == F.col("id_a"))
               .select("cluster", "a", "b", "shingles_a", "shingles_b"))
-    return materialize(joined.mapInPandas(_verified, "cluster long, a long, b long"), "hub-links")
+    return materialize(joined.mapInPandas(functools.partial(_verified, rule), "cluster long, a long, b long"), "hub-links")
 
 
-def _search_clusters(sets: DataFrame, near: DataFrame) -> DataFrame:
+def _search_clusters(sets: DataFrame, near: DataFrame, rule: Rule) -> DataFrame:
     """Links within clusters beyond those of the hub that has most of them.
 
     What hangs on that hub is known to be one component, so only the rest is searched:
@@ -293,10 +300,10 @@ def _search_clusters(sets: DataFrame, near: DataFrame) -> DataFrame:
     before = F.transform(F.sequence(F.lit(0), F.least(F.col("own"), F.col("rest_blocks")) - 1), lambda i: F.struct(i.alias("i"), F.col("own").alias("j"), F.lit(False).alias("left")))
     tasks = F.when(F.col("known"), before).when(F.col("own") == 0, lefts).otherwise(F.concat(lefts, before))
     units = placed.select("cluster", "doc_id", "known", "shingles", F.explode(tasks).alias("unit")).select("cluster", "doc_id", "known", "shingles", "unit.*")
-    return units.groupBy("cluster", "i", "j").applyInPandas(links_of_block, "a long, b long")
+    return units.groupBy("cluster", "i", "j").applyInPandas(lambda rows: links_of_block(rows, rule), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``class_id`` and ``component_id`` of every row.
 
     ``class_id`` is the smallest id with the same set, ``component_id`` the smallest that is
@@ -305,7 +312,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     empty table gives no rows. Other columns are not used.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    classes, links = linked_classes(rows)
+    classes, links = linked_classes(rows, rule)
     found = materialize(components(links), "components")
     out = classes.join(found, F.col("class") == F.col("node"), "left")
     return out.select(F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"), F.col("class").alias("class_id"),

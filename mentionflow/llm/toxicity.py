@@ -39,13 +39,15 @@ FIT_ROWS = 20_000
 FIT_SHARE = 5
 #: Letters from which a word's ratio is spread over its length only.
 LEAST_LETTERS = 4
+#: Rows that a worker scores at a time.
+ROWS = 1000
 #: Characters that are taken apart at a time; a longer text is taken alone.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 _START, _END, _NONE = 1, 2, 0
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-FEATURES = 6
+FEATURES = 5
 
 
 def words_of(text: str) -> list[str]:
@@ -239,7 +241,7 @@ def _features(texts: list[str], by_gram: np.ndarray, by_context: np.ndarray) ->
             own, total = spread[ids], whole[ids]
             best = np.sort(np.unique(own))[-3:]
             toxic = own > 1.0
-            out[i] = (total.sum() / letters[ids].sum(), best[-1], best.mean(), toxic.mean(), total[toxic].sum() / len(ids) ** 0.5, np.log1p(len(ids)))
+            out[i] = (total.sum() / letters[ids].sum(), best[-1], best.mean(), toxic.mean(), total[toxic].sum() / len(ids) ** 0.5)
     return out
 
 
@@ -288,7 +290,8 @@ class Model:
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield pd.Series(probability(features(batch.fillna("").tolist(), *tables.value), fit))
+                parts = (batch.iloc[start:start + ROWS].fillna("").tolist() for start in range(0, len(batch), ROWS))
+                yield pd.Series(np.concatenate([probability(features(part, *tables.value), fit) for part in parts] or [np.zeros(0)]))
 
         return scored(texts)
 

@@ -15,12 +15,13 @@ from mentionflow.llm.graph import components
 from pyspark.sql import functions as F
 
 LONG = " ".join(f"w{i % 977}" for i in range(40_000))
-DOCS = "doc_id long, text string, source string, size string, n int, score string, target int, taken string, `_row` int, part int"
+DOCS = ("doc_id long, text string, source string, size string, n int, score string, target int, taken string, `_row` int, part int, "
+        "hit_id int, hit int, items int, ids int, held int, dropped_id int, own_id int, own_text int, node int, leaf int, ids_crc32 int, salt int")
 
 
 def docs(spark, rows, schema=DOCS):
     """Documents with extra columns whose names clash with what operators add."""
-    return spark.createDataFrame([(*r[:2], r[2] if len(r) > 2 else "s", "x", 1, "x", 1, "x", 1, 1) for r in rows], schema)
+    return spark.createDataFrame([(*r[:2], r[2] if len(r) > 2 else "s", "x", 1, "x", 1, "x", 1, 1, *[1] * 12) for r in rows], schema)
 
 
 ODD = [(1, "One two three four five six seven eight nine ten eleven twelve"), (2, None), (3, ""), (4, "  \n\t "), (5, "tie tie tie tie"), (5, "tie tie tie tie"),
@@ -155,12 +156,12 @@ def test_slices_keep_all_texts(monkeypatch):
 
 # --- 4 ---
 
-def shingles(text):
+def shingles(text, width=3):
     words = (text or "").encode().lower().split()
-    return frozenset(tuple(words[k:k + 3]) for k in range(len(words) - 2)) if len(words) >= 3 else frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[k:k + width]) for k in range(len(words) - width + 1)) if len(words) >= width else frozenset([tuple(words)] if words else [])
 
 
-def brute_components(rows):
+def brute_components(rows, rule=(3, 90)):
     ids = sorted({i for i, _ in rows if i is not None})
     up = {i: i for i in ids}
 
@@ -169,16 +170,16 @@ def brute_components(rows):
             x = up[x]
         return x
 
-    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    sets = [(i, shingles(t, rule[0])) for i, t in rows if i is not None]
     for (a, s), (b, t) in itertools.combinations(sets, 2):
-        if s and t and 100 * len(s & t) >= 90 * len(s | t):
+        if s and t and 100 * len(s & t) >= rule[1] * len(s | t):
             x, y = sorted((find(a), find(b)))
             up[y] = x
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("block", [1_000_000, 400])
-def test_join_is_that_of_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, rule", [(1_000_000, (3, 90)), (400, (3, 90)), (2_000, (5, 80))])
+def test_join_is_that_of_brute_force(spark, monkeypatch, block, rule):
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
     rng = random.Random(block)
     vocabulary = [f"v{k}" for k in range(3000)]
@@ -192,23 +193,24 @@ def test_join_is_that_of_brute_force(spark, monkeypatch, block):
                 words[at:at + 1] = rng.choices(vocabulary, k=rng.randint(0, 2))
             rows.append((1000 * group + k, " ".join(words)))
     rows += [(9000 + k, " ".join(rng.choices(vocabulary, k=50))) for k in range(40)] + [(i + 20_000 if i else None, t) for i, t in ODD]
-    found = ngram_join.near_duplicates(docs(spark, rows)).collect()
+    found = ngram_join.near_duplicates(docs(spark, rows), rule=ngram_join.Rule(*rule, 100)).collect()
     assert len(found) == len(rows)
-    want = brute_components(rows)
+    want = brute_components(rows, rule)
     assert {r.doc_id: r.component_id for r in found} == want | {None: None}
-    assert Counter((r.doc_id, r.n_shingles) for r in found) == Counter((i, len(shingles(t))) for i, t in rows)
+    assert Counter((r.doc_id, r.n_shingles) for r in found) == Counter((i, len(shingles(t, rule[0]))) for i, t in rows)
 
 
 def test_linked_sets_share_a_part():
     rng = np.random.default_rng(1)
-    for n in [*range(9, 60), 200, 1000, 5000]:
+    for n in [*range(4, 60), 200, 1000, 5000]:
         for _ in range(5):
             a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-            change = rng.integers(0, n * 10 // 190 + 1)
+            change = rng.integers(0, n * 20 // 180 + 1)
             b = np.unique(np.concatenate([a[change:], rng.integers(0, 2**63, rng.integers(0, change + 1)).astype(np.uint64)]))
-            if ngram_join.linked(a, b) and not np.array_equal(a, b):
-                assert np.intersect1d(ngram_join.part_keys(a), ngram_join.part_keys(b)).size
-                assert ngram_join.may_link(a, b)
+            for rule in (ngram_join.Rule(), ngram_join.Rule(5, 80)):
+                if rule.linked(a, b) and not np.array_equal(a, b):
+                    assert np.intersect1d(ngram_join.part_keys(a, rule), ngram_join.part_keys(b, rule)).size
+                    assert rule.may_link(a, b)
 
 
 def test_tree_finds_what_a_scan_finds():
@@ -219,7 +221,7 @@ def test_tree_finds_what_a_scan_finds():
     sizes = points.sum(1)
     for p in points[::7]:
         n = p.sum()
-        bound = np.minimum(points, p).sum(1) >= ngram_join.overlap_needed(n, sizes)
+        bound = np.minimum(points, p).sum(1) >= ngram_join.Rule().overlap_needed(n, sizes)
         assert set(np.flatnonzero(bound & (sizes * 90 <= n * 100) & (sizes * 100 >= n * 90))) <= set(tree.search(p))
 
 

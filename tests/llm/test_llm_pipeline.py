@@ -22,7 +22,10 @@ def test_stages_take_effect(spark, tmp_path):
     text = lambda n=80: " ".join(rng.choices(vocabulary, k=n))
     items = [(1, text(14)), (2, text(6))]
     rows = [(i, text() + (" zorkish zorker" if i % 4 == 0 else ""), "en", f"s{i % 3}", 1) for i in range(400)]
-    rows += [(1000 + k, rows[k][1] + " tail", "en", None, 1) for k in range(1, 4)] + [(2000, text(30) + " " + items[0][1] + " " + text(20), "en", "s0", 1)]
+    rows += [(1000 + k, rows[k][1] + " tail", "en", None, 1) for k in range(1, 4)]
+    edited = text(100).split()  # two edits: similar by five words at 0.8, not by three at 0.9
+    rows += [(1100, " ".join(edited), "en", "s1", 1), (1101, " ".join(vocabulary[k] if k in (33, 66) else w for k, w in enumerate(edited)), "en", "s1", 1)]
+    rows += [(2000, text(30) + " " + items[0][1] + " " + text(20), "en", "s0", 1)]
     rows += [(3000, None, None, None, None), (3001, "", "en", "s1", 0), (None, "no id here", "en", "s1", 3), (5, rows[5][1], "en", "s2", 1)]
     write_tables(spark, str(tmp_path), rows, [(i, 1, int(i % 4 == 0)) for i in range(400)], items)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
@@ -30,7 +33,7 @@ def test_stages_take_effect(spark, tmp_path):
     assert {r.doc_id for r in clean} == {r[0] for r in rows if not (r[0] is not None and r[0] < 400 and r[0] % 4 == 0)}
     first = spark.createDataFrame(clean, DOCS)
     single = corpus_pipeline.drop_near_duplicates(spark, first, str(tmp_path)).collect()
-    groups = brute_components([(r.doc_id, r.text) for r in clean])
+    groups = brute_components([(r.doc_id, r.text) for r in clean], (5, 80))
     assert sorted(r.doc_id for r in single if r.doc_id is not None) == sorted(i for i, c in groups.items() if i == c)
     assert sum(r.doc_id is None for r in single) == 1
     left = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(single, DOCS), str(tmp_path)).collect()
