@@ -10,15 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mentionflow.llm import decontaminate, mixing, ngram_join, toxicity
-from mentionflow.llm.common import table
+from mentionflow.llm.common import boxed, table, unboxed
 from mentionflow.llm.queries import MIX_WEIGHTS, toxicity_model
 from mentionflow.session import materialize
 
 
+#: Near copies: five words to a shingle, similarity of 0.8.
+SIMILAR = ngram_join.Rule(5, 80, 100)
+
+
 def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """Documents but those of the given ids."""
-    return docs.join(materialize(ids.distinct(), name).withColumnRenamed("doc_id", "dropped_id"),
-                     F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    ids = materialize(ids.distinct(), name).select(F.struct("doc_id").alias("_dropped"))
+    return unboxed(boxed(docs, _id=F.col("doc_id")).join(ids, F.col("_id") == F.col("_dropped.doc_id"), "left_anti"), docs.columns, {})
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +33,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of similar texts; one row of repeated ids."""
-    found = materialize(ngram_join.near_duplicates(docs.select("doc_id", "text")).select("doc_id", "component_id"), "near-duplicates")
+    found = materialize(ngram_join.near_duplicates(docs.select("doc_id", "text"), rule=SIMILAR).select("doc_id", "component_id"), "near-duplicates")
     kept = _without(docs, found.where("doc_id <> component_id").select("doc_id"), "dropped")
     repeated = materialize(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
