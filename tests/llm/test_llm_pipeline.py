@@ -26,7 +26,7 @@ def test_stages_take_effect(spark, tmp_path):
     edited = text(100).split()  # two edits: similar by five words at 0.8, not by three at 0.9
     rows += [(1100, " ".join(edited), "en", "s1", 1), (1101, " ".join(vocabulary[k] if k in (33, 66) else w for k, w in enumerate(edited)), "en", "s1", 1)]
     rows += [(2000, text(30) + " " + items[0][1] + " " + text(20), "en", "s0", 1)]
-    rows += [(3000, None, None, None, None), (3001, "", "en", "s1", 0), (None, "no id here", "en", "s1", 3), (5, rows[5][1], "en", "s2", 1)]
+    rows += [(3000, None, None, None, None), (3001, "", "en", "s1", 0), (None, text(3), "en", "s1", 3), (5, rows[5][1], "en", "s2", 1)]
     write_tables(spark, str(tmp_path), rows, [(i, 1, int(i % 4 == 0)) for i in range(400)], items)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     clean = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect()
