@@ -12,10 +12,11 @@ from ..plans import daily
 from ..plans.bronze import build_bronze, event_matches
 from ..plans.gold import categorize
 from ..plans.silver import build_silver
+from ..plans.partials import date_span, day_partials, month_of, month_partials, trailing_totals
 from ..plans.trends import window_bounds
 from ..operators.rollups import latest
-from ..schemas import GOLD, trend_schema
-from ..session import scratch_path
+from ..schemas import GOLD, TIMEFRAMES, trend_schema
+from ..session import materialize, scratch_path
 from ..sources.tables import read_table
 from . import inputs as I
 from .registry import check
@@ -248,6 +249,39 @@ for _t in ("7d", "30d", "90d", "alltime"):
     _trend_check(_t)
 
 
+def _all_timeframes_sql(base: str, source: str) -> str:
+    return " UNION ALL ".join(f"""SELECT '{t}' AS timeframe, technology, technology_category, total_mentions_{t} AS total_mentions,
+  round_even(avg_daily_mentions_{t}, 6) AS avg_daily_mentions, peak_day_mentions_{t} AS peak_day_mentions, days_with_activity_{t} AS days_with_activity,
+  mention_rank_{t} AS mention_rank, category_rank_{t} AS category_rank, data_completeness_{t} AS data_completeness
+FROM (WITH {base}, {I.trends_sql(source, t)} SELECT * FROM trends)""" for t in TIMEFRAMES)
+
+
+def _all_timeframes(gold: DataFrame) -> DataFrame:
+    """All trend tables from one read of Gold: its partials by day and closed month."""
+    days = materialize(day_partials(gold), "day-partials")
+    date = latest(days, "date")
+    months = sorted({r["date"][:7] + "-01" for r in days.select("date").distinct().collect() if r["date"][:7] < date[:7]})
+    merged = materialize(month_partials(days.where(month_of(F.col("date")).isin(months))), "month-partials")
+    partials = days.unionByName(merged)
+    totals = materialize(trailing_totals(partials, date, months), "trailing-totals")
+    span = tuple(date_span(partials, date).first())
+    names = ["total_mentions", "avg_daily_mentions", "peak_day_mentions", "days_with_activity", "mention_rank", "category_rank", "data_completeness"]
+    tables = [daily.ranked_trends(totals, date, t, span).select(
+        F.lit(t).alias("timeframe"), "technology", "technology_category",
+        *[(F.bround(f"{n}_{t}", 6) if n.startswith("avg") else F.col(f"{n}_{t}")).alias(n) for n in names]) for t in TIMEFRAMES]
+    return reduce(DataFrame.unionByName, tables)
+
+
+@check("g4_all_timeframes", _all_timeframes_sql(I.GOLD_SQL, "gold"))
+def g4_all(spark, sf):
+    return _all_timeframes(I.gold(spark, sf))
+
+
+@check("g4_all_timeframes_long_span", _all_timeframes_sql(I.LONG_GOLD_SQL, "long_gold"))
+def g4_all_long(spark, sf):
+    return _all_timeframes(I.long_gold(spark, sf))
+
+
 def _daily(spark, sf):
     """The whole batch over stored tables, run twice."""
     root = scratch_path(spark, "daily")

@@ -46,6 +46,24 @@ def trend_rows(gold: DataFrame, analysis_date: str, timeframe: str) -> DataFrame
     return trend_rollup(inside).where(R.not_noise(F.col("technology"))).select("*", *bounds)
 
 
+def window_rows(totals: DataFrame, analysis_date: str, timeframe: str, span: tuple[str, int] | None = None) -> DataFrame:
+    """``trend_rows`` of one timeframe from the totals of all (``partials.trailing_totals``).
+
+    ``span`` (first date, number of dates) bounds the all-time window.
+    """
+    days, last = TIMEFRAMES[timeframe], F.lit(analysis_date)
+    if days is None:
+        first, days = span or (analysis_date, 0)
+        bounds = [F.coalesce(F.lit(first), last).alias("start_date"), last.alias("end_date"), F.lit(days).alias("days")]
+    else:
+        bounds = [D.window_start(last, days).alias("start_date"), last.alias("end_date"), F.lit(days).alias("days")]
+    found = totals.where(F.col(f"`{timeframe}`").isNotNull()).where(R.not_noise(F.col("technology"))).select(
+        "technology", "technology_category", F.col(f"`{timeframe}`.total_mentions"),
+        (F.col(f"`{timeframe}`.total_mentions") / F.col(f"`{timeframe}`.days_with_activity")).alias("avg_daily_mentions"),
+        F.col(f"`{timeframe}`.peak_day_mentions"), F.col(f"`{timeframe}`.days_with_activity"))
+    return found.select("*", *bounds)
+
+
 def rank_trends(rows: DataFrame, analysis_date: str, timeframe: str,
                 processed_at: Column | None = None) -> DataFrame:
     """Ranks and signals on ``trend_rows``; reads its input several times."""

@@ -85,6 +85,11 @@ GOLD = _schema(
     "primary_repository technology_category mention_volume data_completeness "
     "processed_at data_source")
 
+# Mergeable partials of Gold by span of dates (not part of the fixed layers).
+PARTIALS = _schema(
+    "technology string, technology_category string, mentions long, peak long, active long, "
+    "span string, date string")
+
 TIMEFRAMES = {"7d": 7, "30d": 30, "90d": 90, "alltime": None}
 
 

@@ -6,6 +6,7 @@ reads and appends where a Delta package is on the classpath.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..session import scratch_path
+from .journal import Journal
 
 
 def table_path(root: str, layer: str, name: str, domain: str = "github") -> str:
@@ -76,23 +78,45 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str],
     A rerun gives the same table. Partitions that must end up empty are not in ``df``;
     name them in ``emptied`` as {column: value}. Rows are first gathered by partition, so
     each has few files; the rebalance hint lets AQE split a partition that is too large.
+
+    The rows are written beside the table first; then a journal names the partitions to
+    move, and they are moved. A driver that dies before the journal leaves the table as it
+    was, one that dies later leaves a journal that the next write, or ``recover``, finishes.
     """
+    journal = Journal(df.sparkSession, path)
+    journal.recover()
     spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    (spread.write.format("parquet").mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
-    drop_partitions(df.sparkSession, path, emptied, partition_by)
+    staged = journal.begin()
+    spread.write.format("parquet").partitionBy(*partition_by).save(staged)
+    removed = [_partition_folder(df.sparkSession, values, partition_by) for values in emptied]
+    journal.publish(staged, journal.folders(staged, len(partition_by)), removed)
+
+
+def recover(spark: SparkSession, path: str) -> list[str]:
+    """Finish or take back what a driver that died had begun on a table; says what was done.
+
+    A table has one writer at a time; call it at the start of a run, before reading.
+    """
+    if not table_exists(spark, path):
+        return []
+    journal = Journal(spark, path)
+    done = journal.recover()
+    for entry in journal.open_rollbacks():
+        _restore(spark, path, entry)
+        journal.close_rollback(entry)
+        done.append(f"rolled back {entry['folder']}")
+    return done
+
+
+def _partition_folder(spark: SparkSession, values: dict, partition_by: list[str]) -> str:
+    """Folder of a partition as Spark names it: special characters coded, NULL and empty by a name of their own."""
+    coded = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(coded.getPartitionPathString(c, None if values[c] is None else str(values[c])) for c in partition_by)
 
 
 def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[dict], partition_by: list[str]) -> None:
     """Remove whole partition folders, given as {column: value}."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    coded = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for values in partitions:
-        # folder names as Spark writes them: special characters coded, NULL and empty by a name of their own
-        names = [coded.getPartitionPathString(c, None if values[c] is None else str(values[c])) for c in partition_by]
-        folder = hadoop.Path("/".join([path.rstrip("/"), *names]))
-        folder.getFileSystem(conf).delete(folder, True)
+    Journal(spark, path).publish(None, [], [_partition_folder(spark, values, partition_by) for values in partitions])
 
 
 def delete_where(spark: SparkSession, path: str, schema: StructType, predicate: Column,
@@ -132,24 +156,35 @@ def with_rollback(spark: SparkSession, path: str, schema: StructType, partition:
                   work: Callable[[], None]) -> dict:
     """Run ``work``, which may rewrite one partition; restore the partition if it fails.
 
-    The backup is a folder, not driver memory.
+    The backup is a folder beside the table, named in its journal, so it outlives the
+    driver: should that die, ``recover`` restores the partition at the next start.
     """
     [(column, value)] = partition.items()
-    backup = scratch_path(spark, "backup")
-    had = 0
+    journal = Journal(spark, path)
+    entry = {"column": column, "value": value, "folder": _partition_folder(spark, partition, [column]), "had": 0,
+             "schema": _nullable(schema).json()}
+    backup = journal.backup_path()
     if table_exists(spark, path):
         before = read_table(spark, path, schema, **partition)
         before.write.parquet(backup)
-        had = spark.read.schema(_nullable(schema)).parquet(backup).count()
+        entry["had"] = spark.read.schema(_nullable(schema)).parquet(backup).count()
+    entry = journal.open_rollback(entry, backup)
     try:
         work()
-        return {"status": "success", "backed_up": had}
+        return {"status": "success", "backed_up": entry["had"]}
     except Exception as error:
         if table_exists(spark, path):
-            saved = spark.read.schema(_nullable(schema)).parquet(backup) if had else (
-                spark.createDataFrame([], _nullable(schema)))
-            replace_partitions(saved, path, [column], [] if had else [partition])
-        return {"status": "failed", "error": str(error), "backed_up": had, "rolled_back": True}
+            _restore(spark, path, entry)
+        return {"status": "failed", "error": str(error), "backed_up": entry["had"], "rolled_back": True}
+    finally:
+        journal.close_rollback(entry)
+
+
+def _restore(spark: SparkSession, path: str, entry: dict) -> None:
+    """Put a partition back as its backup has it."""
+    schema = StructType.fromJson(json.loads(entry["schema"]))
+    saved = spark.read.schema(schema).parquet(entry["backup"]) if entry["had"] else spark.createDataFrame([], schema)
+    replace_partitions(saved, path, [entry["column"]], [] if entry["had"] else [{entry["column"]: entry["value"]}])
 
 
 def register(df: DataFrame, view: str) -> DataFrame:

@@ -186,3 +186,33 @@ def test_pandas_version_agrees(spark):
     names = [f"{a}{s}{b}" for a in ("My", "go", "rusty", "python") for s in "/-_. " for b in ("python", "javascripts", "x", "Rust")]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     assert df.where(repo_hits(F.col("n"), dictionary) != plain("n")).count() == 0
+
+
+def test_panes_make_the_same_windows(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(f"2024-01-01 00:00:{s % 60:02d}.{s % 7}", k) for s in range(0, 50, 3) for k in ("a", "b") for _ in range(s % 4)]
+    df = spark.createDataFrame(rows, "event_timestamp string, keyword string").withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    direct = (df.groupBy(F.window("event_timestamp", "30 seconds", "3 seconds"), "keyword").agg(F.count("*").alias("mentions"))
+              .select("window.start", "window.end", "keyword", "mentions"))
+    assert sorted(map(tuple, windowed_trends(df).collect())) == sorted(map(tuple, direct.collect()))
+    with pytest.raises(ValueError):
+        windowed_trends(df, "30 seconds", "7 seconds")
+    assert windowed_trends(df, "30 seconds", None).count() == df.groupBy(F.window("event_timestamp", "30 seconds"), "keyword").count().count()
+
+
+def test_state_holds_panes_and_windows_not_rows(spark, tmp_path):
+    """Ten times the events of the same seconds leave the same number of state rows."""
+    from pyspark.sql import functions as F
+
+    def state_rows(times):
+        source = str(tmp_path / f"in-{times}")
+        spark.range(60 * times).select((F.lit(1704067200) + F.col("id") % 60).cast("timestamp").alias("event_timestamp"), F.lit("go").alias("keyword")).write.parquet(source)
+        stream = spark.readStream.schema("event_timestamp timestamp, keyword string").parquet(source)
+        query = (windowed_trends(stream, lateness="10 minutes").writeStream.format("noop").outputMode("append")
+                 .option("checkpointLocation", str(tmp_path / f"check-{times}")).trigger(availableNow=True).start())
+        query.awaitTermination()
+        return [s["numRowsTotal"] for s in query.lastProgress["stateOperators"]]
+
+    few, many = state_rows(1), state_rows(10)
+    assert few == many and max(many) <= 60

@@ -164,14 +164,14 @@ def test_daily_keys_are_unique_and_ranks_dense(spark, built):
 def test_failed_timeframe_keeps_old_rows(spark, built, monkeypatch):
     root, layout, _ = built
     before = T.read_table(spark, layout.trends("30d"), trend_schema("30d")).count()
-    real = daily.build_trends
+    real = daily.ranked_trends
 
-    def broken(gold, date, timeframe, *rest):
+    def broken(totals, date, timeframe, *rest):
         if timeframe == "30d":
             raise RuntimeError("no")
-        return real(gold, date, timeframe, *rest)
+        return real(totals, date, timeframe, *rest)
 
-    monkeypatch.setattr(daily, "build_trends", broken)
+    monkeypatch.setattr(daily, "ranked_trends", broken)
     report = daily.run_trends(spark, layout)
     assert report["status"] == "partial_success" and report["results"]["30d"]["status"] == "failed"
     assert T.read_table(spark, layout.trends("30d"), trend_schema("30d")).count() == before
