@@ -54,6 +54,11 @@ class Rule:
         """Shingles in which linked sets of sizes below the end of a band differ at most."""
         return int(2 * (self.bands[band + 1] - 1) * (self.den - self.num) // (self.den + self.num))
 
+    def spare(self, band: int) -> int:
+        """Parts beyond the least number with which a scheme begins: about those that stay empty in its smallest sets."""
+        parts = self.differing(band) + 1
+        return int(np.ceil(1.4 * parts * np.exp(-self.num / self.den * self.bands[band] / parts)))
+
     def overlap_needed(self, a, b):
         """Least overlap of linked sets of sizes a and b (or at least those)."""
         return -(-self.num * (a + b) // (self.num + self.den))
@@ -77,7 +82,7 @@ FANOUT = 16
 #: Shingles of the documents that one task holds on one side of a cluster.
 BLOCK_SHINGLES = 1_000_000
 #: Sizes in a band grow by this factor; documents of a band and near its end share schemes.
-BAND = 1.25
+BAND = 1.5
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _M3 = np.uint64(0x94D049BB133111EB)
@@ -116,7 +121,8 @@ def part_keys(shingles: np.ndarray, rule: Rule = Rule()) -> np.ndarray:
 
     With r + 1 + e parts at least e + 1 are equal. Empty parts make no key: should all
     equal parts be empty, both sets have more than e empty parts, and then both are dealt
-    into more parts as well.
+    into more parts as well. The first e is near the number of parts that stay empty anyway,
+    so that hardly any set needs a second deal.
     """
     n = len(shingles)
     bands = rule.bands
@@ -128,7 +134,7 @@ def part_keys(shingles: np.ndarray, rule: Rule = Rule()) -> np.ndarray:
     spread = mixed(shingles + _M1) >> np.uint64(20)
     keys = []
     for scheme in schemes:
-        extra = 0
+        extra = rule.spare(scheme)
         while True:
             parts = rule.differing(scheme) + 1 + extra
             place = (spread % np.uint64(parts)).astype(np.int64)
@@ -139,7 +145,7 @@ def part_keys(shingles: np.ndarray, rule: Rule = Rule()) -> np.ndarray:
             keys.append(mixed(mixed(mixed(sums[0] + seed) + sums[1]) + full.astype(np.uint64)))
             if parts - len(full) <= extra:
                 break
-            extra = 3 if not extra else 2 * extra
+            extra = max(3, 2 * extra)
     return np.concatenate(keys).view(np.int64)
 
 
@@ -251,8 +257,8 @@ def linked_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, Dat
     rows = summary.join(classes, [F.col(k) == F.col(f"c_{k}") for k in key], "left").withColumn("class", F.coalesce("class", "doc_id"))
     # parts of one row per class
     parts = rows.where(F.col("class") == F.col("doc_id")).select("doc_id", F.explode("parts").alias("part"))
-    tiles = (parts.groupBy("part").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last"))
-             .where("a <> last").select(F.col("part").alias("tile"), "a"))
+    tiles = (parts.groupBy("part").agg(F.min("doc_id").alias("a"), F.count("*").alias("rows"))
+             .where("rows > 1").select(F.col("part").alias("tile"), "a"))
     tiles = bounded(materialize(tiles, "tiles"))
     pairs = (parts.join(tiles, F.col("part") == F.col("tile")).where(F.col("doc_id") != F.col("a"))
              .select("a", F.col("doc_id").alias("b")).distinct())
