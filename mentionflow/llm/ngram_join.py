@@ -8,8 +8,9 @@ the bound are verified on the sets.
 Points of unlike texts are all near each other in so many dimensions, so one tree over the
 corpus would have to be walked as a whole for each of them. The forest is planted first:
 two sets that may link differ in at most r shingles, so of r + 1 parts into which the
-shingles are dealt one is equal in both. Equal parts tie documents to clusters, and each
-cluster gets its trees. Nothing that could link is ever in different clusters.
+shingles are dealt one is equal in both. The first document that has a part is its hub; a
+hub and the documents tied to it by equal parts are a group, and each group gets its trees.
+Two documents that could link always share a group.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ class Rule:
 GROUPS = 64
 #: Points in a leaf of a tree, and children of a node.
 FANOUT = 16
-#: Shingles of the documents that one task holds on one side of a cluster.
+#: Shingles of the documents that one task holds on one side of a group.
 BLOCK_SHINGLES = 1_000_000
 #: Sizes in a band grow by this factor; documents of a band and near its end share schemes.
 BAND = 1.5
@@ -244,7 +245,7 @@ def _verified(rule: Rule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFr
         for a, b in zip(batch["shingles_a"], batch["shingles_b"]):
             a, b = np.asarray(a, np.int64).view(np.uint64), np.asarray(b, np.int64).view(np.uint64)
             keep.append(rule.may_link(a, b) and rule.linked(a, b))
-        yield batch.loc[keep, ["cluster", "a", "b"]]
+        yield batch.loc[keep, ["a", "b"]]
 
 
 def linked_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
@@ -263,41 +264,45 @@ def linked_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, Dat
     pairs = (parts.join(tiles, F.col("part") == F.col("tile")).where(F.col("doc_id") != F.col("a"))
              .select("a", F.col("doc_id").alias("b")).distinct())
     pairs = materialize(pairs, "candidate-pairs")
-    clusters = components(pairs)
-    members = bounded(clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")))
-    sets = docs.join(members, "doc_id")
+    tied = materialize(pairs.select(F.explode(F.array("a", "b")).alias("tied")).distinct(), "tied")
+    sets = docs.join(bounded(tied), F.col("doc_id") == F.col("tied"))
     sets = materialize(sets.select("doc_id", "text").mapInPandas(functools.partial(_sets, rule), "doc_id long, shingles array<long>")
-                       .join(members, "doc_id").dropDuplicates(["doc_id"]), "cluster-sets")
+                       .dropDuplicates(["doc_id"]), "tied-sets")
     near = _near_hubs(pairs, sets, rule)
-    return rows, near.select("a", "b").unionByName(_search_clusters(sets, near, rule))
+    return rows, near.unionByName(_search_groups(pairs, sets, near, rule))
 
 
 def _near_hubs(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Links between the first document of a part and the others that have it."""
+    """Links between the first document of a part, its hub, and the others that have it."""
     side = lambda name: sets.select(F.col("doc_id").alias(f"id_{name}"), F.col("shingles").alias(f"shingles_{name}"))
-    joined = (pairs.join(side("b"), F.col("b") == F.col("id_b"))
-              .join(side("a").join(sets.select(F.col("doc_id").alias("id_a"), "cluster"), "id_a"), F.col("a") == F.col("id_a"))
-              .select("cluster", "a", "b", "shingles_a", "shingles_b"))
-    return materialize(joined.mapInPandas(functools.partial(_verified, rule), "cluster long, a long, b long"), "hub-links")
+    joined = (pairs.join(side("b"), F.col("b") == F.col("id_b")).join(side("a"), F.col("a") == F.col("id_a"))
+              .select("a", "b", "shingles_a", "shingles_b"))
+    return materialize(joined.mapInPandas(functools.partial(_verified, rule), "a long, b long"), "hub-links")
 
 
-def _search_clusters(sets: DataFrame, near: DataFrame, rule: Rule) -> DataFrame:
-    """Links within clusters beyond those of the hub that has most of them.
+def _search_groups(pairs: DataFrame, sets: DataFrame, near: DataFrame, rule: Rule) -> DataFrame:
+    """Links within the groups of the hubs beyond those of the hub itself.
 
-    What hangs on that hub is known to be one component, so only the rest is searched:
-    against itself and against the known ones, in blocks of bounded size. A cluster that
-    its hub holds together altogether needs no search.
+    Two documents that share a part are both in the group of that part's hub. What hangs on
+    the hub is known to be one component, so only the rest is searched: against itself and
+    against the known ones, in blocks of bounded size. A group that its hub holds together,
+    or of one document beside the hub, needs no search.
     """
-    hubs = (near.groupBy("cluster", "a").agg(F.count("*").alias("links")).groupBy("cluster")
-            .agg(F.max_by("a", F.struct("links", -F.col("a"))).alias("hub")))
-    held = near.join(hubs, "cluster").where(F.col("a") == F.col("hub")).select(F.col("b").alias("doc_id"))
-    held = materialize(held.unionByName(hubs.select(F.col("hub").alias("doc_id"))).distinct().withColumn("known", F.lit(True)), "known")
-    marked = sets.join(held, "doc_id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
-    sizes = marked.groupBy("cluster").agg(
+    linked = near.select(F.col("a").alias("hub"), F.col("b").alias("held"))
+    marked = pairs.join(linked, (F.col("a") == F.col("hub")) & (F.col("b") == F.col("held")), "left").select(
+        F.col("a").alias("group"), F.col("b").alias("member"), F.col("held").isNotNull().alias("known"))
+    marked = materialize(marked, "group-members")
+    open_groups = (marked.groupBy("group").agg(F.count("*").alias("n"), F.count_if("known").alias("held")).where("n > 1 AND held < n")
+                   .select(F.col("group").alias("of")))
+    open_groups = materialize(open_groups, "open-groups")
+    members = marked.join(bounded(open_groups), F.col("group") == F.col("of")).select("group", "member", "known").unionByName(
+        open_groups.select(F.col("of").alias("group"), F.col("of").alias("member"), F.lit(True).alias("known")))
+    members = materialize(members.join(sets, F.col("member") == F.col("doc_id")).select("group", "doc_id", "known", "shingles"), "group-sets")
+    sizes = members.groupBy("group").agg(
         F.sum(F.when(~F.col("known"), F.size("shingles")).otherwise(0)).alias("rest"), F.sum(F.when(F.col("known"), F.size("shingles")).otherwise(0)).alias("held"))
     blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / BLOCK_SHINGLES)).cast("int")
-    sizes = materialize(sizes.where("rest > 0").select(F.col("cluster").alias("of"), blocks("rest").alias("rest_blocks"), blocks("held").alias("held_blocks")), "cluster-sizes")
-    placed = marked.join(sizes, F.col("cluster") == F.col("of"))
+    sizes = materialize(sizes.select(F.col("group").alias("of"), blocks("rest").alias("rest_blocks"), blocks("held").alias("held_blocks")), "group-sizes")
+    placed = members.join(bounded(sizes), F.col("group") == F.col("of"))
     own = F.when(F.col("known"), F.col("rest_blocks") + F.pmod(F.xxhash64("doc_id"), F.col("held_blocks"))).otherwise(
         F.pmod(F.xxhash64("doc_id"), F.col("rest_blocks"))).cast("int")
     placed = placed.withColumn("own", own)
@@ -305,8 +310,8 @@ def _search_clusters(sets: DataFrame, near: DataFrame, rule: Rule) -> DataFrame:
     lefts = F.transform(F.sequence(F.col("own"), F.col("rest_blocks") + F.col("held_blocks") - 1), lambda j: F.struct(F.col("own").alias("i"), j.alias("j"), F.lit(True).alias("left")))
     before = F.transform(F.sequence(F.lit(0), F.least(F.col("own"), F.col("rest_blocks")) - 1), lambda i: F.struct(i.alias("i"), F.col("own").alias("j"), F.lit(False).alias("left")))
     tasks = F.when(F.col("known"), before).when(F.col("own") == 0, lefts).otherwise(F.concat(lefts, before))
-    units = placed.select("cluster", "doc_id", "known", "shingles", F.explode(tasks).alias("unit")).select("cluster", "doc_id", "known", "shingles", "unit.*")
-    return units.groupBy("cluster", "i", "j").applyInPandas(lambda rows: links_of_block(rows, rule), "a long, b long")
+    units = placed.select("group", "doc_id", "known", "shingles", F.explode(tasks).alias("unit")).select("group", "doc_id", "known", "shingles", "unit.*")
+    return units.groupBy("group", "i", "j").applyInPandas(lambda rows: links_of_block(rows, rule), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
