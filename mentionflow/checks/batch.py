@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D, rules as R
-from ..operators import gaps, quality, ranking, rollups, sampling
+from ..operators import distinct, gaps, quality, ranking, rollups, sampling
 from ..operators.versions import read_as_of, recent, retain_hours, retention_report, without
 from ..plans.status import dates_exist
+from ..session import scratch_path
 from ..sources.events import with_provenance
 from ..sources.tables import verify_write
 from . import inputs as I
@@ -133,6 +134,20 @@ def a10_counts(spark, sf):
         F.count_distinct("top_repo").alias("repos"))
 
 
+@check("a10_stored_bitmaps", f"""WITH d AS (SELECT {SHIP_DATES} AS date, l_partkey, l_suppkey FROM lineitem)
+SELECT 'all' AS month, 'l_partkey' AS name, count(DISTINCT l_partkey) AS distinct_values FROM d
+UNION ALL SELECT 'all', 'l_suppkey', count(DISTINCT l_suppkey) FROM d
+UNION ALL SELECT substr(date, 1, 7), 'l_partkey', count(DISTINCT l_partkey) FROM d GROUP BY 1
+UNION ALL SELECT substr(date, 1, 7), 'l_suppkey', count(DISTINCT l_suppkey) FROM d GROUP BY 1""")
+def a10_bitmaps(spark, sf):
+    """Bitmaps stored by date give the distinct counts of every month and of all dates; the items are read once."""
+    path = scratch_path(spark, "bitmaps")
+    distinct.number_bitmaps(_items(spark, sf), ["l_partkey", "l_suppkey"], "date").repartition("date").write.parquet(path)
+    stored = spark.read.parquet(path)
+    by_month = distinct.distinct_counts(stored.withColumn("month", F.substring("date", 1, 7)), "month")
+    return by_month.unionByName(distinct.distinct_counts(stored).select(F.lit("all").alias("month"), "name", "distinct_values"))
+
+
 @check("a11_bounds", f"SELECT min({SHIP_DATES}) AS earliest, max({SHIP_DATES}) AS latest FROM lineitem")
 def a11(spark, sf):
     return rollups.bounds(_items(spark, sf), "date")

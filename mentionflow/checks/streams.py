@@ -11,6 +11,7 @@ from ..session import scratch_path
 from ..sources import tables as T
 from ..sources.streams import read_event_stream
 from ..streaming import run as S
+from ..streaming.compaction import compact, read_stream_table
 from ..streaming.events import enrich_stream, event_stream
 from ..streaming.sink import write_batch
 from ..streaming.windows import dedupe_events, windowed_trends
@@ -94,6 +95,27 @@ def x2_replay(spark, sf):
             .agg(F.sum("mentions").alias("mentions")))
 
 
+@check("x2_compacted_batches", f"""{_COUNTS} SELECT keyword, CAST(sum(n) AS BIGINT) AS mentions, CAST(4 AS BIGINT) AS batches, CAST(2 AS INTEGER) AS folders
+FROM counts GROUP BY keyword""")
+def x2_compacted(spark, sf):
+    """Four batches, merged but for the newest one; each of them is then replayed and still counts once."""
+    path = scratch_path(spark, "compacted")
+    raw = I.doc_events(spark, sf).select(F.pmod(F.xxhash64("id"), F.lit(4)).alias("part"), F.to_json(F.struct(*EVENT.fieldNames())).alias("value"))
+    write = write_batch(path, now=I.stamp())
+    batch = lambda k: event_stream(raw.where(F.col("part") == k).select("value"), REPO_DICTIONARY)
+    for k in range(4):
+        write(batch(k), k)
+        if k >= 2:
+            compact(spark, path)
+    for k in range(4):
+        write(batch(k), k)
+    stored = read_stream_table(spark, path)
+    batches = stored.agg(F.count_distinct("batch_id").alias("batches"))
+    folders = T.read_table(spark, path, BRONZE_STREAM).agg(F.count_distinct("batch_id").cast("int").alias("folders"))
+    return (stored.groupBy("keyword").agg(F.sum("mentions").alias("mentions"))
+            .select("*", batches.scalar().alias("batches"), folders.scalar().alias("folders")))
+
+
 _WINDOWS = """WITH e AS (SELECT epoch_us(ts) // 3000000 * 3 AS slot, event_type FROM events),
 w AS (SELECT slot - 3 * i AS start_s, event_type FROM e, (SELECT unnest(generate_series(0, 9)) AS i))
 SELECT start_s, start_s + 30 AS end_s, event_type AS keyword, count(*) AS mentions FROM w GROUP BY 1, 2, 3"""

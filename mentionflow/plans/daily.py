@@ -61,7 +61,7 @@ def create_tables(spark: SparkSession, layout: Layout) -> None:
 
 def write_bronze(facts: DataFrame, layout: Layout) -> None:
     """Store hourly facts; a date that comes again is replaced."""
-    tables.replace_partitions(facts, layout.bronze, ["date"])
+    tables.replace_partitions(facts, layout.bronze, ["date"], lookup=["keyword"])
 
 
 def publish(df: DataFrame, path: str, schema: StructType, partition_by: list[str], layer: str) -> DataFrame:
@@ -74,7 +74,7 @@ def publish(df: DataFrame, path: str, schema: StructType, partition_by: list[str
     df.write.parquet(staged)
     rows = tables.read_table(spark, staged, schema)
     require_valid(rows, schema, layer)
-    tables.replace_partitions(rows, path, partition_by)
+    tables.replace_partitions(rows, path, partition_by, lookup=["technology"])
     return rows
 
 

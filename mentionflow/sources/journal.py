@@ -42,6 +42,10 @@ class Journal:
             return []
         return sorted(status.getPath().getName() for status in self.fs.listStatus(self._path(folder)))
 
+    def names(self, folder: str) -> list[str]:
+        """Names in a folder of the table."""
+        return self._names(f"{self.root}/{folder}")
+
     def _move(self, source: str, target: str) -> None:
         to = self._path(target)
         self.fs.mkdirs(to.getParent())

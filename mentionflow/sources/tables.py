@@ -72,7 +72,7 @@ def append_table(df: DataFrame, path: str, partition_by: Iterable[str] = (), fmt
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str],
-                       emptied: Iterable[dict] = ()) -> None:
+                       emptied: Iterable[dict] = (), lookup: Iterable[str] = ()) -> None:
     """Write the partitions present in ``df``, replacing their old rows; others stay.
 
     A rerun gives the same table. Partitions that must end up empty are not in ``df``;
@@ -82,12 +82,19 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str],
     The rows are written beside the table first; then a journal names the partitions to
     move, and they are moved. A driver that dies before the journal leaves the table as it
     was, one that dies later leaves a journal that the next write, or ``recover``, finishes.
+
+    ``lookup`` names columns that readers ask for single values of: files are sorted by the
+    first and carry Bloom filters for all of them, so a scan skips row groups without the value.
     """
     journal = Journal(df.sparkSession, path)
     journal.recover()
     spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
     staged = journal.begin()
-    spread.write.format("parquet").partitionBy(*partition_by).save(staged)
+    lookup = list(lookup)
+    if lookup:
+        spread = spread.sortWithinPartitions(*partition_by, *lookup)
+    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookup}
+    spread.write.format("parquet").options(**blooms).partitionBy(*partition_by).save(staged)
     removed = [_partition_folder(df.sparkSession, values, partition_by) for values in emptied]
     journal.publish(staged, journal.folders(staged, len(partition_by)), removed)
 

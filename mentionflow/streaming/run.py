@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.quality import schema_difference
 from ..operators.versions import older_than
@@ -16,6 +15,7 @@ from ..session import scratch_path
 from ..sources import tables
 from ..sources.dictionary import Dictionary
 from ..sources.streams import SAFE_OPTIONS
+from .compaction import PARTITIONS as STREAM_PARTITIONS, STORED
 from .events import enrich_stream, event_stream
 from .sink import write_batch
 
@@ -23,7 +23,6 @@ from .sink import write_batch
 TRIGGER = "3 seconds"
 RUN_MINUTES = 60
 KEEP_HOURS = 1
-STREAM_PARTITIONS = ["run", "batch_id", "date", "hour"]
 # --- end of fixed values ---
 
 
@@ -70,8 +69,7 @@ def clean_stream_table(spark: SparkSession, path: str, hours: int = KEEP_HOURS,
     moment = F.current_timestamp() if now is None else now
     cutoff = moment - F.make_dt_interval(hours=F.lit(hours))
     old = older_than(F.col("date"), F.col("hour"), F.to_date(cutoff), F.hour(cutoff))
-    stored = StructType([*BRONZE_STREAM.fields, StructField("run", StringType())])
-    return tables.delete_where(spark, path, stored, old, STREAM_PARTITIONS)
+    return tables.delete_where(spark, path, STORED, old, STREAM_PARTITIONS)
 
 
 def run_streaming(spark: SparkSession, source: DataFrame, dictionary: Dictionary, root: str,

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.matching import with_keywords
 from ..operators.rollups import stream_counts
 from ..schemas import BRONZE_STREAM, conform
+from .compaction import merged_upto
 
 
 def batch_rows(batch: DataFrame, epoch: int, now: Column | None = None) -> DataFrame:
@@ -38,9 +39,12 @@ def write_batch(path: str, run: str = "default", now: Column | None = None):
     read once; an empty one adds no rows. Hours are folders, minutes are a column, and
     retention removes old folders.
     A small batch is gathered in one file of an hour, a backlog is written in parallel:
-    the rebalance lets AQE choose by size.
+    the rebalance lets AQE choose by size. A batch that a compaction has merged is there
+    already and is not written again.
     """
     def write(batch: DataFrame, epoch: int) -> None:
+        if epoch <= merged_upto(batch.sparkSession, path, run):
+            return
         rows = batch_rows(batch, epoch, now).drop("batch_id").hint("rebalance", "date", "hour")
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("date", "hour").parquet(f"{path}/run={run}/batch_id=batch_{epoch}"))
