@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import dates as D
+from ..functions import dates as D, rules as R
 from ..operators.rollups import hourly_keyword_rollup, latest
 from ..plans.gold import build_gold
 from ..plans.silver import build_silver
@@ -312,41 +312,9 @@ any_hits AS (
      OR (length(keyword) > 3 AND contains(searchable_text, keyword)))"""
 
 
-# The ordered inference words once more, written for SQL: a word lost in the rules shows here.
-INFERENCE_SQL = [
-    "ai_model: gpt, chatgpt, dall-e, dalle, whisper, codex, claude, gemini, bard, palm, bert, t5, gemma, llama, roberta, mistral, mixtral, qwen, deepseek, yi, phi, grok, stable-diffusion, midjourney, yolo, bloom",
-    "ai_platform: openai, anthropic, huggingface, hugging-face, ollama, perplexity, cohere, replicate",
-    "ai_framework: langchain, llamaindex, llama-index, haystack, semantic-kernel, autogen, crewai, guidance, instructor, marvin, litellm, transformers, datasets, accelerate, peft, vllm, opencv, spacy, nltk, detectron, mmdetection, triton, bentoml, ray-serve",
-    "vector_database: pinecone, weaviate, chroma, chromadb, qdrant, milvus, faiss, pgvector",
-    "blockchain_protocol: uniswap, aave, compound, makerdao, curve, yearn, sushiswap, pancakeswap, 1inch",
-    "blockchain_framework: hardhat, truffle, foundry, anchor, substrate, web3",
-    "blockchain_platform: ethereum, bitcoin, solana, cardano, polygon, arbitrum, optimism, avalanche, cosmos, polkadot, near, terra",
-    "testing: jest, vitest, cypress, playwright, selenium, webdriver, testing-library, mocha, chai, jasmine, pytest, unittest, nose, junit, testng, rspec, minitest, phpunit",
-    "build_tool: vite, webpack, esbuild, rollup, turbo, turborepo, parcel, snowpack",
-    "package_manager: npm, yarn, pnpm, bun, pip, poetry, pipenv, conda, maven, gradle, cargo, composer, bundler, nuget",
-    "language: python, javascript, typescript, java, kotlin, scala, go, golang, rust, cpp, c++, csharp, c#, php, ruby, swift, dart, elixir, haskell, clojure, erlang, julia, r, matlab, lua, perl, bash, powershell, zig, nim, crystal, mojo, solidity, f#, ocaml",
-    "mobile_framework: react-native, flutter, expo, ionic, cordova, phonegap, xamarin, swiftui, jetpack-compose",
-    "desktop_framework: electron, tauri, qt, gtk, tkinter, kivy, flet, wpf, winui",
-    "backend_framework: django, fastapi, flask, quart, starlette, express, fastify, koa, hapi, nestjs, spring, laravel, symfony, rails, sinatra, asp.net, blazor, gin, echo, fiber, axum, actix, rocket, phoenix",
-    "web_framework: react, vue, angular, svelte, nextjs, next.js, nuxt, remix, solid, solidjs, qwik, astro, sveltekit",
-    "ui_framework: tailwind, tailwindcss, bootstrap, bulma, material-ui, mui, chakra-ui, ant-design, antd, mantine, shadcn, radix, headlessui, styled-components, emotion, sass, scss, less, stylus, postcss",
-    "data_engineering: spark, hadoop, flink, storm, kafka, pulsar, kinesis, airflow, prefect, dagster, luigi, dbt, nifi, great-expectations",
-    "data_visualization: streamlit, gradio, plotly, matplotlib, seaborn, tableau, powerbi, looker, superset, metabase",
-    "data_analysis: pandas, numpy, scipy, polars, dask, ray",
-    "database: mysql, postgresql, postgres, sqlite, mariadb, oracle, sql-server, mongodb, couchdb, redis, dynamodb, elasticsearch, opensearch, solr, neo4j, arangodb, influxdb, timescaledb, clickhouse, snowflake, bigquery, redshift, databricks, supabase, planetscale, neon, turso",
-    "cloud_platform: aws, azure, gcp, google-cloud, digitalocean, linode, vultr, hetzner, ovh",
-    "cloud_service: vercel, netlify, heroku, railway, render, fly.io, cloudflare, lambda, s3, ec2, rds",
-    "devops: docker, kubernetes, k8s, helm, istio, terraform, pulumi, cloudformation, cdk, ansible, chef, puppet, vagrant, jenkins, github-actions, gitlab-ci, circleci, azure-devops, tekton, argo, argocd, flux, prometheus, grafana, jaeger, zipkin, datadog, newrelic, sentry",
-]
-
-
 def inferred_sql(name: str) -> str:
     """CASE over the ordered inference words, as plain substring tests."""
-    arms = []
-    for line in INFERENCE_SQL:
-        category, words = line.split(": ")
-        tests = " OR ".join(f"contains({name}, '{w}')" for w in words.split(", "))
-        arms.append(f"WHEN {tests} THEN '{category}'")
+    arms = [f"WHEN {' OR '.join(f"contains({name}, '{word}')" for word in words)} THEN '{category}'" for category, words in R.INFERENCE_RULES]
     return "CASE " + " ".join(arms) + " ELSE 'development_tool' END"
 
 

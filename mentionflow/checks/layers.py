@@ -387,21 +387,8 @@ def r5(spark, sf):
         "technology", "technology_category", R.hotness(F.col("avg_daily_mentions") * 2).alias("signal"))
 
 
-# --- Fixed values: the groups once more, written for SQL: a category lost in the hierarchy shows here ---
-_GROUPS_SQL = {
-    "AI & Machine Learning": "ai_model ai_platform ai_framework ai_technique ml_framework ml_ops vector_database",
-    "Programming": "language",
-    "Development Frameworks": "web_framework backend_framework mobile_framework desktop_framework ui_framework",
-    "Data & Storage": "database data_engineering data_visualization data_analysis",
-    "Infrastructure": "cloud_platform cloud_service devops",
-    "Development Tools": "testing build_tool package_manager version_control development_tool",
-    "Specialized": "blockchain_platform blockchain_framework blockchain_protocol",
-}
-# --- end of fixed values ---
-
-
 @check("r6_group_totals", f"""WITH {I.GOLD_SQL},
-groups(category_group, technology_category) AS (VALUES {", ".join(f"('{group}', '{category}')" for group, categories in _GROUPS_SQL.items() for category in categories.split())})
+groups(category_group, technology_category) AS (VALUES {", ".join(f"('{group}', '{category}')" for group, categories in R.CATEGORY_HIERARCHY.items() for category in categories)})
 SELECT category_group, count(*) AS rows, CAST(sum(daily_mentions) AS BIGINT) AS mentions
 FROM gold JOIN groups USING (technology_category) GROUP BY category_group""")
 def r6(spark, sf):
