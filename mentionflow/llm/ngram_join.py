@@ -238,6 +238,31 @@ def links_of_block(rows: pd.DataFrame, rule: Rule = Rule()) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
+def links_of_group(rows: pd.DataFrame, rule: Rule = Rule()) -> pd.DataFrame:
+    """Links that hold a group together as far as it hangs together: those of the hub, the smallest id, then of the rest."""
+    rows = rows.drop_duplicates("doc_id").sort_values("doc_id", ignore_index=True)
+    sets = [np.asarray(s, np.int64).view(np.uint64) for s in rows["shingles"]]
+    ids, found = rows["doc_id"].to_numpy(), []
+    rest = []
+    for j in range(1, len(ids)):
+        if rule.may_link(sets[0], sets[j]) and rule.linked(sets[0], sets[j]):
+            found.append((ids[0], ids[j]))
+        else:
+            rest.append(j)
+    if rest and len(ids) > 2:
+        joined = Sets(len(ids))
+        for j in set(range(1, len(ids))) - set(rest):
+            joined.join(j, 0)
+        points = np.array([point(s) for s in sets])
+        tree = Tree(points)
+        for i in rest:
+            for j in tree.search(points[i], rule):
+                if joined.find(i) != joined.find(int(j)) and rule.linked(sets[i], sets[j]):
+                    joined.join(i, int(j))
+                    found.append((ids[i], ids[j]))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
 def _verified(rule: Rule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of sets that link: the bound on the points first, then the sets themselves."""
     for batch in batches:
@@ -257,19 +282,39 @@ def linked_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, Dat
     classes = bounded(materialize(classes, "classes"))
     rows = summary.join(classes, [F.col(k) == F.col(f"c_{k}") for k in key], "left").withColumn("class", F.coalesce("class", "doc_id"))
     # parts of one row per class
-    parts = rows.where(F.col("class") == F.col("doc_id")).select("doc_id", F.explode("parts").alias("part"))
+    parts = rows.where(F.col("class") == F.col("doc_id")).select("doc_id", "n", F.explode("parts").alias("part"))
     tiles = (parts.groupBy("part").agg(F.min("doc_id").alias("a"), F.count("*").alias("rows"))
              .where("rows > 1").select(F.col("part").alias("tile"), "a"))
     tiles = bounded(materialize(tiles, "tiles"))
     pairs = (parts.join(tiles, F.col("part") == F.col("tile")).where(F.col("doc_id") != F.col("a"))
-             .select("a", F.col("doc_id").alias("b")).distinct())
+             .select("a", F.col("doc_id").alias("b"), "n").distinct())
     pairs = materialize(pairs, "candidate-pairs")
+    groups = materialize(pairs.groupBy("a").agg(F.sum("n").alias("size")).select(F.col("a").alias("hub"), (F.col("size") > BLOCK_SHINGLES).alias("large")), "groups")
+    sized = pairs.join(bounded(groups), F.col("a") == F.col("hub"))
+    small = _link_groups(docs, sized.where(~F.col("large")).select("a", "b"), rule)
+    large = sized.where("large").select("a", "b")
+    if large.isEmpty():
+        return rows, small
+    large = materialize(large, "pairs-of-large-groups")
+    sets = _sets_of(docs, large, rule)
+    sets = materialize(sets.dropDuplicates(["doc_id"]), "tied-sets")
+    near = _near_hubs(large, sets, rule)
+    return rows, small.unionByName(near).unionByName(_search_groups(large, sets, near, rule))
+
+
+def _sets_of(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """``doc_id`` and ``shingles`` of the documents in pairs."""
     tied = materialize(pairs.select(F.explode(F.array("a", "b")).alias("tied")).distinct(), "tied")
-    sets = docs.join(bounded(tied), F.col("doc_id") == F.col("tied"))
-    sets = materialize(sets.select("doc_id", "text").mapInPandas(functools.partial(_sets, rule), "doc_id long, shingles array<long>")
-                       .dropDuplicates(["doc_id"]), "tied-sets")
-    near = _near_hubs(pairs, sets, rule)
-    return rows, near.unionByName(_search_groups(pairs, sets, near, rule))
+    found = docs.join(bounded(tied), F.col("doc_id") == F.col("tied")).select("doc_id", "text")
+    return found.mapInPandas(functools.partial(_sets, rule), "doc_id long, shingles array<long>")
+
+
+def _link_groups(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """Links within groups that fit into a block, one task step for each group; every set is sent once for a group."""
+    members = materialize(pairs.select(F.col("a").alias("group"), F.col("b").alias("member"))
+                          .unionByName(pairs.select(F.col("a").alias("group"), F.col("a").alias("member")).distinct()), "group-members")
+    placed = _sets_of(docs, pairs, rule).join(bounded(members), F.col("doc_id") == F.col("member")).select("group", "doc_id", "shingles")
+    return materialize(placed.groupBy("group").applyInPandas(lambda rows: links_of_group(rows, rule), "a long, b long"), "group-links")
 
 
 def _near_hubs(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
