@@ -46,10 +46,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for checkpoints and intermediate tables, deleted when the session ends.
 
     It lies in the folder the session names in ``spark.checkpoint.dir``; where that is
-    unset, in the warehouse, which every executor can reach as well.
+    unset, in the warehouse. On a cluster the warehouse must then be a folder that all
+    executors reach; a path on the driver's own disk is an error.
     """
-    base = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if not spark.sparkContext.master.startswith("local") and base.split(":", 1)[0] in ("file", base):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; executors cannot see {base}")
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)

@@ -114,6 +114,18 @@ def test_scratch_lies_in_the_folder_of_the_session(spark):
     assert first.startswith(f"{folder}/x-") and first != scratch_path(spark, "x")
 
 
+def test_no_scratch_on_the_drivers_own_disk():
+    class Cluster:
+        class sparkContext:
+            master = "spark://somewhere:7077"
+
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.sql.warehouse.dir": "file:/home/me/warehouse"}.get(key, default))
+
+    with pytest.raises(ValueError):
+        scratch_path(Cluster, "x")
+
+
 @pytest.fixture(scope="module")
 def built(spark, sf_dir, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("daily"))
