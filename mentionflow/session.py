@@ -52,7 +52,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        if not spark.sparkContext.master.startswith("local") and base.split(":", 1)[0] in ("file", base):
+        if not spark.sparkContext.master.startswith("local") and base.startswith("file:"):
             raise ValueError(f"set spark.checkpoint.dir to a shared folder; executors cannot see {base}")
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
