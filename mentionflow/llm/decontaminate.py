@@ -104,19 +104,37 @@ def phrase_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc_id:
 
 def proximity_hits(docs: DataFrame, items: DataFrame, slack: int, doc_id: str = "doc_id", text: str = "text",
                    item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Items of which every word occurs within ``slack`` places of its own place: ``doc_id``, ``item_id``, ``start``.
-
-    ``start`` is the offset (in steps of ``slack`` + 1) around which the words lie; the
-    order of the words may differ by the slack.
+    """Items whose words all lie near one place: ``doc_id``, ``item_id``, ``start``, one row a match.
+
+    Matches are looked for around the occurrences of the item's rarest term: at a ``start``
+    every word of the item, the rarest one too, occurs within ``slack`` places of where it
+    would lie from there. The order of the words may differ by the slack, and one document
+    word may stand for two equal words of the item. An occurrence gives the start nearest to
+    its own offset, the smaller of two; an exact match gives its own. With a slack of 0
+    these are the exact matches.
+
+    NULL and empty texts, items without words and rows without id have no matches; equal items
+    and rows of one id count once; empty tables give no rows. Other columns are not used.
+    Words are looked for in buckets of twice the slack, so a frequent term of a long text
+    meets its neighbourhood only.
     """
     terms, index = _indexed(docs, items, doc_id, text, item_id, item_text)
-    step = slack + 1
-    near = index.join(terms.withColumnRenamed("place", "item_place"), "term").select(
-        "item", "item_id", "size", "doc_id", "item_place", F.floor((F.col("place") - F.col("item_place")) / step).alias("bin"))
-    # neighbouring bins overlap, so that no group of offsets within the slack is cut apart
-    both = near.select("item", "item_id", "size", "doc_id", "item_place", F.explode(F.array(F.col("bin") - 1, F.col("bin"))).alias("bin")).distinct()
-    return (both.groupBy("item", "item_id", "size", "doc_id", "bin").agg(F.count("*").alias("n")).where(F.col("n") == F.col("size"))
-            .select("doc_id", "item_id", (F.col("bin") * step).alias("start")))
+    frequency = materialize(index.groupBy("term").agg(F.count("*").alias("frequency")), "frequency")
+    rarest = (terms.join(frequency, "term").groupBy("item").agg(F.min(F.struct("frequency", "place", "term")).alias("first"))
+              .select("item", F.col("first.term").alias("term"), F.col("first.place").alias("item_place")))
+    starts = index.where("doc_id IS NOT NULL").join(rarest, "term").select("item", "doc_id", (F.col("place") - F.col("item_place")).alias("seed")).distinct()
+    starts = materialize(starts.withColumn("start", F.explode(F.sequence(F.col("seed") - slack, F.col("seed") + slack))), "proximity-starts")
+    span = 2 * slack + 1
+    target = F.col("start") + F.col("place")
+    expected = starts.join(terms, "item").select("item", "size", "doc_id", "seed", "start", "place", "term", target.alias("target"), F.explode(F.array_distinct(F.array(
+        F.floor((target - slack) / span), F.floor((target + slack) / span)))).alias("bucket"))
+    there = index.join(materialize(starts.select("doc_id").distinct(), "proximity-documents"), "doc_id", "left_semi").select(
+        "doc_id", "term", F.col("place").alias("at"), F.floor(F.col("place") / span).alias("bucket"))
+    near = expected.join(there, ["doc_id", "term", "bucket"]).where(F.abs(F.col("at") - F.col("target")) <= slack)
+    met = (near.select("item", "size", "doc_id", "seed", "start", "place").distinct().groupBy("item", "size", "doc_id", "seed", "start").agg(F.count("*").alias("n"))
+           .where(F.col("n") == F.col("size")))
+    met = met.groupBy("item", "doc_id", "seed").agg(F.min_by("start", F.struct(F.abs(F.col("start") - F.col("seed")), "start")).alias("start")).drop("seed").distinct()
+    return met.join(terms.select("item", "item_id").distinct(), "item").select("doc_id", "item_id", "start")
 
 
 def _indexed(docs, items, doc_id, text, item_id, item_text) -> tuple[DataFrame, DataFrame]:

@@ -75,6 +75,37 @@ def test_proximity_allows_slack(spark):
     assert {r.doc_id for r in found.collect()} == {1, 2}
 
 
+def brute_proximity(documents, items, slack):
+    word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+    texts = [(i, word(t)) for i, t in documents if i is not None]
+    counts = Counter(w for _, ws in texts for w in ws)
+    out = set()
+    for item, text in items:
+        iw = word(text)
+        if not iw or not all(counts[w] for w in iw):
+            continue
+        r, rare = min(enumerate(iw), key=lambda p: (counts[p[1]], p[0]))
+        for d, ws in texts:
+            for seed in (p - r for p, w in enumerate(ws) if w == rare):
+                fits = [o for o in range(seed - slack, seed + slack + 1)
+                        if all(any(ws[q] == w for q in range(max(0, o + k - slack), max(0, min(len(ws), o + k + slack + 1)))) for k, w in enumerate(iw))]
+                if fits:
+                    out.add((d, item, min(fits, key=lambda o: (abs(o - seed), o))))
+    return out
+
+
+@pytest.mark.parametrize("slack", [0, 1, 3])
+def test_proximity_is_that_of_a_scan(spark, slack):
+    rng = random.Random(slack)
+    texts = [(i, " ".join(rng.choices("abcdefg", k=rng.randint(0, 40)))) for i in range(40)] + [(100, "x a b c d y"), (101, None), (102, ""), (None, "a b c d")]
+    items = [(1, "a b c d"), (2, "g f"), (3, "a z"), (4, None), (5, "c"), (6, "b a b")]
+    found = decontaminate.proximity_hits(docs(spark, texts), spark.createDataFrame(items, "item_id int, text string"), slack).collect()
+    want = brute_proximity(texts, items, slack)
+    assert len(found) == len(want) and {tuple(r) for r in found} == want
+    if slack == 0:
+        assert [r.start for r in found if r.doc_id == 100 and r.item_id == 1] == [1]
+
+
 # --- 2 ---
 
 def whole_viterbi(model, rows):
