@@ -214,7 +214,9 @@ def a19(spark, sf):
 @check("a20_range_stats", """SELECT count(*) AS kept, CAST(sum(event_id) AS BIGINT) AS total, max(event_id) AS largest,
   CAST(sum(event_id * event_id) AS BIGINT) AS squares FROM events WHERE event_type = 'click'""")
 def a20(spark, sf):
-    return rollups.range_stats(I.table(spark, sf, "events"), "event_id", F.col("event_type") == "click")
+    """A sum beyond 64 bits, for which the SQL has no result, stays a decimal."""
+    stats = rollups.range_stats(I.table(spark, sf, "events"), "event_id", F.col("event_type") == "click")
+    return rollups.as_long(stats, "total", "squares")
 
 
 # --- J: joins and gaps ---

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 
 def repo_keyword_counts(matches: DataFrame) -> DataFrame:
@@ -106,11 +107,25 @@ def rate(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def range_stats(numbers: DataFrame, column: str, keep: Column) -> DataFrame:
-    """Count, sum and maximum of the kept numbers and the sum of their squares."""
+    """Count, sum and maximum of the kept numbers and the sum of their squares.
+
+    Both sums of whole numbers are decimals, as the squares of a few million ids pass 64 bits.
+    """
     x = F.col(column)
+    whole = isinstance(numbers.schema[column].dataType, IntegralType)
+    wide = x.cast("decimal(19,0)") if whole else x
     return numbers.where(keep).agg(
-        F.count(x).alias("kept"), F.sum(x).alias("total"), F.max(x).alias("largest"),
-        F.sum(x * x).alias("squares"))
+        F.count(x).alias("kept"), F.sum(wide).alias("total"), F.max(x).alias("largest"),
+        F.sum(wide * wide).alias("squares"))
+
+
+def as_long(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole decimals as long where every value of the column fits; others stay as they are.
+
+    One row of flags leaves the cluster.
+    """
+    fits = df.agg(*[F.coalesce(F.bool_and(F.col(c).between(-2**63, 2**63 - 1)), F.lit(True)).alias(c) for c in columns]).first()
+    return df.withColumns({c: F.col(c).cast("long") for c in columns if fits[c]})
 
 
 def profile(df: DataFrame, unique: list[str], times: list[str] = ()) -> DataFrame:

@@ -228,3 +228,18 @@ def test_thread_choice(spark):
 def test_first_value_in_arrival_order(spark):
     df = spark.createDataFrame([("k", 3, "c"), ("k", 1, None), ("k", 2, "b"), ("k", 2, "a")], "k string, h int, v string")
     assert df.groupBy("k").agg(rollups.first_by("v", "h").alias("x")).first()["x"] == "a"
+
+
+def test_range_stats_beyond_64_bits(spark):
+    """The squares of numbers up to 6 * 10^6 sum to more than a long holds; short sums stay longs."""
+    numbers = spark.range(1, 6_000_001).select("id", (F.col("id") % 2 == 0).alias("even"))
+    n = 3_000_000
+    out = rollups.as_long(rollups.range_stats(numbers, "id", F.col("even")), "total", "squares")
+    assert tuple(out.first()) == (n, n * (n + 1), 6_000_000, 2 * n * (n + 1) * (2 * n + 1) // 3)
+    assert 2 * n * (n + 1) * (2 * n + 1) // 3 > 2**63
+    assert [t for _, t in out.dtypes] == ["bigint", "bigint", "bigint", "decimal(38,0)"]
+    top = rollups.range_stats(spark.createDataFrame([(2**62,), (2**62 - 1,), (None,)], "id long"), "id", F.lit(True))
+    assert tuple(top.first()) == (2, 2**63 - 1, 2**62, 2**124 + (2**62 - 1)**2)
+    small = rollups.as_long(rollups.range_stats(numbers.limit(0), "id", F.col("even")), "total", "squares")
+    assert tuple(small.first()) == (0, None, None, None) and dict(small.dtypes)["squares"] == "bigint"
+    assert tuple(rollups.range_stats(numbers.select((F.col("id") / 4).alias("x")).limit(1), "x", F.lit(True)).first())[3] == 0.0625
