@@ -24,11 +24,21 @@ from .registry import check
 BATCHES = 4
 
 
+def _land(rows, path):
+    """Deals a table into files and returns the options that give each micro-batch its share of them.
+
+    A micro-batch has as many files as the table has splits, so that it keeps as many tasks
+    busy as the table's own scan, and no task's part grows with the table.
+    """
+    splits = max(1, rows.rdd.getNumPartitions())
+    rows.repartition(BATCHES * splits).write.parquet(path)
+    return {"maxFilesPerTrigger": str(splits)}
+
+
 def _stream(spark, sf, name):
-    """A table as a stream of several files, one in each micro-batch."""
+    """A table as a stream of several micro-batches."""
     rows, path = I.table(spark, sf, name), scratch_path(spark, f"stream-{name}")
-    rows.repartition(BATCHES).write.parquet(path)
-    return read_event_stream(spark, "parquet", path, rows.schema, {"maxFilesPerTrigger": "1"})
+    return read_event_stream(spark, "parquet", path, rows.schema, _land(rows, path))
 
 
 def _raw_documents(spark, sf):
@@ -144,11 +154,11 @@ def x6_stream(spark, sf):
     """
     path, landed = scratch_path(spark, "x6"), scratch_path(spark, "stream-events")
     rows = I.table(spark, sf, "events")
-    rows.repartition(BATCHES).write.parquet(landed)
+    options = _land(rows, landed)
     rows.groupBy().agg(F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 4000 DAYS")).alias("ts"), F.lit("closing").alias("event_type")) \
         .select(*[(F.col(c) if c in ("event_id", "ts", "event_type") else F.lit(None)).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]) \
         .write.mode("append").parquet(landed)
-    stream = read_event_stream(spark, "parquet", landed, rows.schema, {"maxFilesPerTrigger": "1"})
+    stream = read_event_stream(spark, "parquet", landed, rows.schema, options)
     out = _seconds(windowed_trends(_timed(stream), lateness="2000 days"))
     S.run_stream(S.start(out, "x6", S.checkpoint_path(spark, "x6"), trigger=None,
                          each_batch=lambda df, epoch: df.write.mode("overwrite").parquet(f"{path}/batch={epoch}")), None)

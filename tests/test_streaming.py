@@ -216,3 +216,30 @@ def test_state_holds_panes_and_windows_not_rows(spark, tmp_path):
 
     few, many = state_rows(1), state_rows(10)
     assert few == many and max(many) <= 60
+
+
+def test_micro_batches_of_a_table_have_its_splits(spark, sf_dir, tmp_path):
+    """A longer table makes more files in each of the micro-batches, not longer files."""
+    from mentionflow.checks import streams
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(40 * 1024))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        splits, total = rows.rdd.getNumPartitions(), rows.count()
+        assert splits > streams.BATCHES
+        stream = streams._stream(spark, sf_dir, "documents")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    seen = []
+
+    def note(batch, epoch):
+        files = batch.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows")).collect()
+        seen.append([r["rows"] for r in files])
+
+    S.run_stream(S.start(stream.select("doc_id", "_metadata"), "splits", str(tmp_path / "c"), each_batch=note, trigger=None), None)
+    assert len(seen) == streams.BATCHES and sum(map(sum, seen)) == total
+    assert all(len(files) == splits for files in seen)
+    assert max(map(max, seen)) < total / streams.BATCHES / 2
