@@ -82,6 +82,8 @@ GROUPS = 64
 FANOUT = 16
 #: Shingles of the documents that one task holds on one side of a group.
 BLOCK_SHINGLES = 1_000_000
+#: So many characters of text weigh as much as a shingle, should words be long.
+CHARS_PER_SHINGLE = 8
 #: Sizes in a band grow by this factor; documents of a band and near its end share schemes.
 BAND = 1.5
 
@@ -156,8 +158,8 @@ def _summaries(rule: Rule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataF
         rows = []
         for text in batch["text"]:
             found = shingle_set(text, hashes, rule)
-            rows.append((len(found), *(int(x) for x in np.array([found.sum(dtype=np.uint64), mixed(found).sum(dtype=np.uint64)]).view(np.int64)), part_keys(found, rule)))
-        yield pd.DataFrame(rows, columns=["n", "sum_a", "sum_b", "parts"]).assign(doc_id=batch["doc_id"].astype("Int64").to_numpy())
+            rows.append((len(found), max(len(found), len(text or "") // CHARS_PER_SHINGLE), *(int(x) for x in np.array([found.sum(dtype=np.uint64), mixed(found).sum(dtype=np.uint64)]).view(np.int64)), part_keys(found, rule)))
+        yield pd.DataFrame(rows, columns=["n", "weight", "sum_a", "sum_b", "parts"]).assign(doc_id=batch["doc_id"].astype("Int64").to_numpy())
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
@@ -263,6 +265,12 @@ def links_of_group(rows: pd.DataFrame, rule: Rule = Rule()) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
+def links_of_texts(rows: pd.DataFrame, rule: Rule = Rule()) -> pd.DataFrame:
+    """Links that hold a group of texts together."""
+    rows, hashes = rows.drop_duplicates("doc_id"), WordHashes()
+    return links_of_group(pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "shingles": [shingle_set(t, hashes, rule).view(np.int64) for t in rows["text"]]}), rule)
+
+
 def _verified(rule: Rule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of sets that link: the bound on the points first, then the sets themselves."""
     for batch in batches:
@@ -275,21 +283,21 @@ def _verified(rule: Rule, batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFr
 
 def linked_classes(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     """(summaries with the class of every row, links between class representatives)."""
-    summary = materialize(docs.mapInPandas(functools.partial(_summaries, rule), "doc_id long, n long, sum_a long, sum_b long, parts array<long>"), "summaries")
+    summary = materialize(docs.mapInPandas(functools.partial(_summaries, rule), "doc_id long, n long, weight long, sum_a long, sum_b long, parts array<long>"), "summaries")
     key = ["n", "sum_a", "sum_b"]
     classes = (summary.where(F.col("n") > 0).groupBy(*key).agg(F.min("doc_id").alias("class"), F.count("*").alias("rows"))
                .where("rows > 1").select(*[F.col(k).alias(f"c_{k}") for k in key], "class"))
     classes = bounded(materialize(classes, "classes"))
     rows = summary.join(classes, [F.col(k) == F.col(f"c_{k}") for k in key], "left").withColumn("class", F.coalesce("class", "doc_id"))
     # parts of one row per class
-    parts = rows.where(F.col("class") == F.col("doc_id")).select("doc_id", "n", F.explode("parts").alias("part"))
+    parts = rows.where(F.col("class") == F.col("doc_id")).select("doc_id", "weight", F.explode("parts").alias("part"))
     tiles = (parts.groupBy("part").agg(F.min("doc_id").alias("a"), F.count("*").alias("rows"))
              .where("rows > 1").select(F.col("part").alias("tile"), "a"))
     tiles = bounded(materialize(tiles, "tiles"))
     pairs = (parts.join(tiles, F.col("part") == F.col("tile")).where(F.col("doc_id") != F.col("a"))
-             .select("a", F.col("doc_id").alias("b"), "n").distinct())
+             .select("a", F.col("doc_id").alias("b"), "weight").distinct())
     pairs = materialize(pairs, "candidate-pairs")
-    groups = materialize(pairs.groupBy("a").agg(F.sum("n").alias("size")).select(F.col("a").alias("hub"), (F.col("size") > BLOCK_SHINGLES).alias("large")), "groups")
+    groups = materialize(pairs.groupBy("a").agg(F.sum("weight").alias("size")).select(F.col("a").alias("hub"), (F.col("size") > BLOCK_SHINGLES).alias("large")), "groups")
     sized = pairs.join(bounded(groups), F.col("a") == F.col("hub"))
     small = _link_groups(docs, sized.where(~F.col("large")).select("a", "b"), rule)
     large = sized.where("large").select("a", "b")
@@ -310,11 +318,14 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _link_groups(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Links within groups that fit into a block, one task step for each group; every set is sent once for a group."""
+    """Links within groups that fit into a block, one task step for each group; every text is sent once for a group.
+
+    A text is less than half as long as its set, whose hashes do not compress, so the sets are made where the group is.
+    """
     members = materialize(pairs.select(F.col("a").alias("group"), F.col("b").alias("member"))
                           .unionByName(pairs.select(F.col("a").alias("group"), F.col("a").alias("member")).distinct()), "group-members")
-    placed = _sets_of(docs, pairs, rule).join(bounded(members), F.col("doc_id") == F.col("member")).select("group", "doc_id", "shingles")
-    return materialize(placed.groupBy("group").applyInPandas(lambda rows: links_of_group(rows, rule), "a long, b long"), "group-links")
+    placed = docs.join(bounded(members), F.col("doc_id") == F.col("member")).select("group", "doc_id", "text")
+    return materialize(placed.groupBy("group").applyInPandas(lambda rows: links_of_texts(rows, rule), "a long, b long"), "group-links")
 
 
 def _near_hubs(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:

@@ -464,3 +464,27 @@ def test_same_texts_of_different_articles_are_template(spark):
     assert all(found[20 + k] == " ".join([f"again {k}", *story[5]]) for k in range(3))
     assert all(found[100 + k] == " ".join(["Our menu", f"day {k}", *story[5], "All rights reserved"]) for k in range(4))
     assert all(story[5][0] in found[200 + k] and LONG[:900].strip() in found[200 + k] for k in range(2))
+
+
+def test_groups_are_sent_as_texts(spark, monkeypatch):
+    """Sets of random hashes are longer than their texts; groups of few but long words count by their length."""
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdefghij"), n))
+    rows = []
+    for group in range(6):
+        words = [word(6 if group % 2 else 400) for _ in range(60)]
+        rows += [(10 * group + k, " ".join([*words[:k], f"new{k}", *words[k + 1:]])) for k in range(3)]
+    sent, put = {}, ngram_join.materialize
+
+    def noted(df, name):
+        sent[name] = df
+        return put(df, name)
+
+    monkeypatch.setattr(ngram_join, "materialize", noted)
+    ids = lambda: {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(docs(spark, rows), rule=ngram_join.Rule(5, 60)).collect()}
+    want = {i: i // 10 * 10 for i, _ in rows}
+    assert ids() == want and "tied-sets" not in sent
+    assert "shingles" not in sent["group-links"]._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1000)
+    assert ids() == want
+    assert {r["doc_id"] for r in sent["tied-sets"].select("doc_id").collect()} == {i for i, _ in rows if i // 10 % 2 == 0}
